@@ -57,9 +57,9 @@ def cut_in_order(df: DataFrame, column: str, out: str, cuts: int = CUTS) -> Data
     splits = [float("-inf"), *sorted(set(points)), float("inf")]
     if len(splits) < 3:
         return df.withColumn(out, F.lit(0.0))
-    as_double = df.withColumn("_cut", F.col(column).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_cut", outputCol=out, handleInvalid="keep").transform(as_double)
-    return bucketed.drop("_cut")
+    as_double = df.withColumn("_as_double", F.col(column).cast("double"))
+    bucketed = Bucketizer(splits=splits, inputCol="_as_double", outputCol=out, handleInvalid="keep").transform(as_double)
+    return bucketed.drop("_as_double")
 
 
 def position_by(df: DataFrame, keys: list[str], order: str, out: str, cuts: int = CUTS) -> DataFrame:

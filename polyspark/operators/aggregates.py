@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from polyspark.functions.hashing import hash_hex, hash_int
 from polyspark.functions.joins import null_safe_join
@@ -226,7 +227,7 @@ def index_draws(df: DataFrame, by: list[str], id_col: str, iters: int, seed: int
     return null_safe_join(drawn, placed, [*by, "_i"]).drop("_i")
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _poisson(seed: pd.Series, count: pd.Series, rounds: pd.Series) -> pd.Series:
     """Poisson draws of mean ``count``, one per round, from a generator seeded per row."""
     return pd.Series(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from polyspark.functions.text import characters, ngrams, tokens_13a, words
 
@@ -268,7 +269,10 @@ def ter_edits(hyp: list[str], ref: list[str]) -> int:
     return shifts + edits
 
 
-@F.pandas_udf("edits double, ref_len double")
+TER_PAIR = T.StructType([T.StructField(c, T.DoubleType()) for c in ("edits", "ref_len")])
+
+
+@F.pandas_udf(TER_PAIR)
 def _ter_pair(pred: pd.Series, refs: pd.Series) -> pd.DataFrame:
     rows = []
     for p, rs in zip(pred, refs):

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from polyspark.functions.stem import stem
 from polyspark.functions.text import count_bytes, count_words, ngrams, rouge_tokens
@@ -76,7 +77,7 @@ def gram_counts(
     )
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_tokens(tokens: pd.Series) -> pd.Series:
     """Stems the tokens of more than three letters."""
     return tokens.map(lambda row: None if row is None else [stem(t) if len(t) > 3 else t for t in row])
@@ -175,7 +176,10 @@ def rouge_lsum_pair(ref: list[list[str]], pred: list[list[str]]) -> tuple[float,
     return _scores(hits, len(a), len(b))
 
 
-@F.pandas_udf("rougeL struct<precision:double,recall:double,fmeasure:double>, rougeLsum struct<precision:double,recall:double,fmeasure:double>")
+TRIPLE = T.StructType([T.StructField(f, T.DoubleType()) for f in ("precision", "recall", "fmeasure")])
+
+
+@F.pandas_udf(T.StructType([T.StructField(k, TRIPLE) for k in ("rougeL", "rougeLsum")]))
 def _rouge_lcs(ref: pd.Series, pred: pd.Series) -> pd.DataFrame:
     rows = []
     names = ("precision", "recall", "fmeasure")
@@ -209,7 +213,7 @@ def rouge_l(
     return scored.select(*keys, "_both.rougeL", "_both.rougeLsum")
 
 
-@F.pandas_udf("array<array<string>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def stem_sentences(sents: pd.Series) -> pd.Series:
     return sents.map(lambda row: [[stem(t) if len(t) > 3 else t for t in s] for s in row])
 

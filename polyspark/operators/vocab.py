@@ -73,11 +73,8 @@ def pair_counts(state: DataFrame, max_length: int = MAX_PIECE_LENGTH) -> DataFra
     """Adjacent symbol pairs and their counts; pairs too long for a piece are left out."""
     body = F.substring(F.col("symbols"), 2, 1 << 30)
     parts = F.split(F.rtrim(body, F.lit(CLOSE)), CLOSE + OPEN)
-    last = F.size(parts) - 1
-    pairs = F.transform(
-        F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(F.element_at(parts, i).alias("left"), F.element_at(parts, i + 1).alias("right")),
-    )
+    rest = F.greatest(F.size(parts) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(parts, F.lit(1), rest).alias("left"), F.slice(parts, F.lit(2), rest).alias("right"))
     return (
         state.select("n", F.inline(pairs))
         .where(F.length("left") + F.length("right") <= max_length)
@@ -132,7 +129,7 @@ def learn_bpe(
     counts: DataFrame,
     n_merges: int,
     horizon: int = 512,
-    checkpoint_every: int = 8,
+    checkpoint_every: int = 4,
     max_length: int = MAX_PIECE_LENGTH,
 ) -> DataFrame:
     """Byte-pair merges in rank order: rank, left, right, piece, n, score = -rank.
@@ -144,7 +141,9 @@ def learn_bpe(
     """
     spark = counts.sparkSession
     checkpoint_dir(spark)
-    state = start_symbols(counts).checkpoint()
+    # an explicit number keeps the words spread out over every later round
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = start_symbols(counts).repartition(parallel, "symbols").checkpoint()
     merges: list[tuple[int, str, str, str, int, float]] = []
     known: set[str] = set()
     round_no = 0
@@ -274,5 +273,5 @@ def extend_embeddings(emb: DataFrame, n_new: int, id_col: str = "id", vector: st
         starts = starts.repartition(chunks, "_chunk")
     first = F.col("_last") + 1 + F.col("_chunk") * chunk
     last = F.least(first + (chunk - 1), F.col("_last") + n_new)
-    added = starts.select(F.explode(F.sequence(first, last)).cast("bigint").alias(id_col), vector)
+    added = starts.select(F.explode(F.sequence(first, last).cast("array<bigint>")).alias(id_col), vector)
     return emb.select(id_col, vector).unionByName(added)
