@@ -13,6 +13,8 @@ from polyspark.functions.joins import skew_safe_join
 from polyspark.functions.ranks import running_total
 from polyspark.functions.text import cut_at_stops
 from polyspark.operators.prompts import GENERATION
+from polyspark.session import saved
+from polyspark.sources.sinks import path_exists
 
 # --- token windows --------------------------------------------------------------------------
 
@@ -159,10 +161,8 @@ def cached_scores(
     spark = requests.sparkSession
     unique = dedup_requests(requests)
     schema = "request_key string, ll double, is_greedy boolean, generated string"
-    from polyspark.sources.sinks import _exists
-
     misses = unique
-    if _exists(spark, cache_path):
+    if path_exists(spark, cache_path):
         known = spark.read.schema(schema).parquet(cache_path)
         misses = unique.join(known, "request_key", "left_anti")
     score(misses).select("request_key", "ll", "is_greedy", "generated").write.mode("append").parquet(cache_path)
@@ -212,25 +212,26 @@ def score_with(requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame])
     return requests.select("request_key", "req_type", "ctx", "cont").mapInPandas(run, SCORE_SCHEMA)
 
 
-def ngram_counts(docs: DataFrame, by: list[str], tokens: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Unigram counts, bigram counts and totals per group, the first token preceded by ``<s>``."""
+def _bigrams(docs: DataFrame, keys: list[str], tokens: str) -> DataFrame:
+    """Word pairs w1, w2 of each document, the first word preceded by ``<s>``."""
     before = F.concat(F.array(F.lit("<s>")), F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))))
-    pairs = docs.select(*by, F.explode(F.arrays_zip(before.alias("w1"), F.col(tokens).alias("w2"))).alias("p"))
-    bigrams = pairs.groupBy(*by, F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2")).agg(
-        F.count(F.lit(1)).alias("n_pair")
-    )
-    contexts = bigrams.groupBy(*by, "w1").agg(F.sum("n_pair").alias("n_ctx"))
-    unigrams = bigrams.groupBy(*by, "w2").agg(F.sum("n_pair").alias("n_word"))
-    totals = unigrams.groupBy(*by).agg(F.sum("n_word").alias("n_all"), F.count(F.lit(1)).alias("n_vocab"))
-    model = bigrams.join(contexts, [*by, "w1"])
-    return unigrams, model, totals
+    return docs.select(*keys, F.inline(F.arrays_zip(before.alias("w1"), F.col(tokens).alias("w2"))))
 
 
 def train_ngram_lm(docs: DataFrame, by: list[str], tokens: str) -> dict[str, DataFrame]:
-    """Add-alpha unigram and bigram counts per group (language)."""
-    unigrams, bigrams, totals = ngram_counts(docs, by, tokens)
-    contexts = bigrams.select(*by, "w1", "n_ctx").distinct()
-    return {"unigrams": unigrams, "bigrams": bigrams.drop("n_ctx"), "contexts": contexts, "totals": totals}
+    """Unigram, bigram and context counts and totals per group (language).
+
+    The bigram counts are the model, read by everything after, so they are written
+    once to the shared folder; the other tables are sums over them.
+    """
+    bigrams = saved(_bigrams(docs, by, tokens).groupBy(*by, "w1", "w2").agg(F.count(F.lit(1)).alias("n_pair")))
+    unigrams = bigrams.groupBy(*by, "w2").agg(F.sum("n_pair").alias("n_word"))
+    return {
+        "bigrams": bigrams,
+        "contexts": bigrams.groupBy(*by, "w1").agg(F.sum("n_pair").alias("n_ctx")),
+        "unigrams": unigrams,
+        "totals": unigrams.groupBy(*by).agg(F.sum("n_word").alias("n_all"), F.count(F.lit(1)).alias("n_vocab")),
+    }
 
 
 def score_ngram(
@@ -240,15 +241,14 @@ def score_ngram(
 
     Tokens are counted per document first; common words are spread by document.
     """
-    before = F.concat(F.array(F.lit("<s>")), F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))))
-    pairs = docs.select(*by, *keys, F.explode(F.arrays_zip(before.alias("w1"), F.col(tokens).alias("w2"))).alias("p"))
+    pairs = _bigrams(docs, [*by, *keys], tokens)
     spread = [F.col(k) for k in keys]
     if order == 1:
-        counted = pairs.groupBy(*by, *keys, F.col("p.w2").alias("w2")).agg(F.count(F.lit(1)).alias("n"))
+        counted = pairs.groupBy(*by, *keys, "w2").agg(F.count(F.lit(1)).alias("n"))
         joined = skew_safe_join(counted, lm["unigrams"], [*by, "w2"], "n_word", spread, "left")
         over, under = F.col("n_word"), F.col("n_all")
     else:
-        counted = pairs.groupBy(*by, *keys, F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2")).agg(
+        counted = pairs.groupBy(*by, *keys, "w1", "w2").agg(
             F.count(F.lit(1)).alias("n")
         )
         joined = skew_safe_join(counted, lm["bigrams"], [*by, "w1", "w2"], "n_pair", spread, "left")

@@ -62,14 +62,9 @@ def ids_of(pieces: list[str], id_of, unk: int) -> list[int]:
     return out
 
 
-def _small(vocab: DataFrame, limit: int) -> bool:
-    return vocab.select("piece").limit(limit + 1).count() <= limit
-
-
-def _tokenize_by_table(df: DataFrame, vocab: DataFrame, keys: list[str], text: str, mode: str, unk: int) -> DataFrame:
+def _tokenize_by_table(df: DataFrame, rows: pd.DataFrame, keys: list[str], text: str, mode: str, unk: int) -> DataFrame:
     """The vocabulary goes to every task; each task splits a word once. No shuffle."""
     spark = df.sparkSession
-    rows = vocab.select("piece", "id", "score").toPandas()
     table = spark.sparkContext.broadcast(dict(zip(rows["piece"], zip(rows["id"].tolist(), rows["score"].tolist()))))
 
     @F.pandas_udf("array<int>")
@@ -168,8 +163,10 @@ def tokenize(
     """
     if mode not in ("bpe", "word"):
         raise ValueError(f"unknown mode {mode!r}")
-    if _small(vocab, broadcast_pieces):
-        out = _tokenize_by_table(df, vocab, keys, text, mode, unk)
+    # one row more than may be sent shows that the vocabulary is too large
+    rows = vocab.select("piece", "id", "score").limit(broadcast_pieces + 1).toPandas() if broadcast_pieces else None
+    if rows is not None and len(rows) <= broadcast_pieces:
+        out = _tokenize_by_table(df, rows, keys, text, mode, unk)
     else:
         out = _tokenize_by_join(df, vocab, keys, text, mode, unk, max_length)
     if special is None:

@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from polyspark.functions.ranks import position_by
+from polyspark.functions.ranks import position_by, running_total
 from polyspark.functions.text import WHITE_SPACE_RUN, characters, words
 from polyspark.operators.tokens import tokenize
-from polyspark.session import checkpoint_dir
+from polyspark.session import saved
 
 # The word-start mark, piece types and control pieces of the vocabulary format.
 WORD_START = "▁"
@@ -56,6 +56,20 @@ def char_inventory(counts: DataFrame, coverage: float = DEFAULT_COVERAGE) -> Dat
     )
 
 
+def word_vocabulary(counts: DataFrame, min_count: int = 2, first_id: int = 0) -> DataFrame:
+    """A vocabulary of whole words seen at least ``min_count`` times, most common first."""
+    kept = counts.where(F.col("n") >= min_count).withColumns(
+        {"_rarer": -F.col("n"), "_prefix": F.substring("word", 1, 3)}
+    )
+    placed = running_total(kept, [], ["_rarer", "_prefix"], [F.col("word")], F.lit(1), "_at")
+    return placed.select(
+        (F.col("_at") + first_id).alias("id"),
+        F.col("word").alias("piece"),
+        (-F.col("_at") - first_id).cast("double").alias("score"),
+        F.lit(NORMAL).alias("type"),
+    )
+
+
 # --- merges ---------------------------------------------------------------------------------
 
 
@@ -69,14 +83,32 @@ def start_symbols(counts: DataFrame) -> DataFrame:
     return counts.select(F.array_join(marked, "").alias("symbols"), "n")
 
 
+def _parts(symbols: Column) -> Column:
+    """The symbols of a word as an array; a one-character delimiter needs no regular expression."""
+    return F.split(F.rtrim(F.replace(symbols, F.lit(OPEN), F.lit("")), F.lit(CLOSE)), CLOSE)
+
+
+def _signed(parts: str, sign: int) -> Column:
+    """Adjacent symbol pairs of a word as an array of (left, right, sign)."""
+    rest = F.greatest(F.size(parts) - 1, F.lit(0))
+    return F.arrays_zip(
+        F.slice(parts, F.lit(1), rest).alias("left"),
+        F.slice(parts, F.lit(2), rest).alias("right"),
+        F.array_repeat(F.lit(sign), rest).alias("sign"),
+    )
+
+
+def _merged(symbols: Column, pairs: list[tuple[str, str]]) -> Column:
+    for left, right in pairs:
+        symbols = F.replace(symbols, F.lit(_marked(left) + _marked(right)), F.lit(_marked(left + right)))
+    return symbols
+
+
 def pair_counts(state: DataFrame, max_length: int = MAX_PIECE_LENGTH) -> DataFrame:
     """Adjacent symbol pairs and their counts; pairs too long for a piece are left out."""
-    body = F.substring(F.col("symbols"), 2, 1 << 30)
-    parts = F.split(F.rtrim(body, F.lit(CLOSE)), CLOSE + OPEN)
-    rest = F.greatest(F.size(parts) - 1, F.lit(0))
-    pairs = F.arrays_zip(F.slice(parts, F.lit(1), rest).alias("left"), F.slice(parts, F.lit(2), rest).alias("right"))
     return (
-        state.select("n", F.inline(pairs))
+        state.select("n", _parts(F.col("symbols")).alias("_parts"))
+        .select("n", F.inline(_signed("_parts", 1)))
         .where(F.length("left") + F.length("right") <= max_length)
         .groupBy("left", "right")
         .agg(F.sum("n").alias("n"))
@@ -85,10 +117,34 @@ def pair_counts(state: DataFrame, max_length: int = MAX_PIECE_LENGTH) -> DataFra
 
 def merge_pairs(state: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Joins every occurrence of the pairs, left to right."""
+    return state.select(_merged(F.col("symbols"), pairs).alias("symbols"), "n")
+
+
+def changed_pair_counts(
+    counts: DataFrame, state: DataFrame, pairs: list[tuple[str, str]], max_length: int = MAX_PIECE_LENGTH
+) -> DataFrame:
+    """Pair counts after merging ``pairs`` in ``state``; only the words that hold one of them are taken apart."""
     symbols = F.col("symbols")
+    holds = F.lit(False)
     for left, right in pairs:
-        symbols = F.replace(symbols, F.lit(_marked(left) + _marked(right)), F.lit(_marked(left + right)))
-    return state.select(symbols.alias("symbols"), "n")
+        holds = holds | F.contains(symbols, F.lit(_marked(left) + _marked(right)))
+    change = (
+        state.where(holds)
+        .select(
+            F.col("n").alias("_n"),
+            _parts(symbols).alias("_before"),
+            _parts(_merged(symbols, pairs)).alias("_after"),
+        )
+        .select("_n", F.inline(F.concat(_signed("_before", -1), _signed("_after", 1))))
+        .where(F.length("left") + F.length("right") <= max_length)
+        .select("left", "right", (F.col("_n") * F.col("sign")).alias("n"))
+    )
+    return (
+        counts.unionByName(change)
+        .groupBy("left", "right")
+        .agg(F.sum("n").alias("n"))
+        .where("n > 0")
+    )
 
 
 def safe_prefix(
@@ -126,29 +182,25 @@ def safe_prefix(
 
 
 def learn_bpe(
-    counts: DataFrame,
-    n_merges: int,
-    horizon: int = 512,
-    checkpoint_every: int = 4,
-    max_length: int = MAX_PIECE_LENGTH,
+    counts: DataFrame, n_merges: int, horizon: int = 512, max_length: int = MAX_PIECE_LENGTH
 ) -> DataFrame:
     """Byte-pair merges in rank order: rank, left, right, piece, n, score = -rank.
 
     The pair with the highest count is merged first; on a tie the smaller pair. The
     state is the distinct words, never the corpus. Each round ranks the pairs on the
-    executors, brings at most ``horizon`` of them to the driver, and merges as many as
-    leave the result unchanged. The lineage is cut in the shared checkpoint folder.
+    executors, brings at most ``horizon`` of them to the driver, merges as many as
+    leave the result unchanged, and recounts the pairs of the words that changed. The
+    lineage is cut in the shared checkpoint folder.
     """
     spark = counts.sparkSession
-    checkpoint_dir(spark)
     # an explicit number keeps the words spread out over every later round
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = start_symbols(counts).repartition(parallel, "symbols").checkpoint()
+    state = saved(start_symbols(counts).repartition(parallel, "symbols"))
+    pairs = saved(pair_counts(state, max_length))
     merges: list[tuple[int, str, str, str, int, float]] = []
     known: set[str] = set()
-    round_no = 0
     while len(merges) < n_merges:
-        top = pair_counts(state, max_length).orderBy(F.col("n").desc(), "left", "right").limit(horizon).collect()
+        top = pairs.orderBy(F.col("n").desc(), "left", "right").limit(horizon).collect()
         ranked = [(r["left"], r["right"], r["n"]) for r in top]
         if not ranked:
             break
@@ -156,10 +208,8 @@ def learn_bpe(
         known |= {left + right for left, right in chosen}
         for (left, right), (_, _, n) in zip(chosen, ranked):
             merges.append((len(merges), left, right, left + right, n, -float(len(merges))))
-        state = merge_pairs(state, chosen)
-        round_no += 1
-        if round_no % checkpoint_every == 0:
-            state = state.checkpoint()
+        pairs = saved(changed_pair_counts(pairs, state, chosen, max_length))
+        state = saved(merge_pairs(state, chosen))
     return spark.createDataFrame(
         merges, "rank bigint, left string, right string, piece string, n bigint, score double"
     )
@@ -193,8 +243,7 @@ def build_vocabulary(merges: DataFrame, chars: DataFrame, spark: SparkSession) -
 def learn_vocabulary(corpus: DataFrame, vocab_size: int, coverage: float = 1.0, text: str = "text") -> DataFrame:
     """A vocabulary of ``vocab_size`` pieces from raw text, in one pass over the corpus."""
     spark = corpus.sparkSession
-    checkpoint_dir(spark)
-    counts = word_counts(corpus, text=text).checkpoint()
+    counts = saved(word_counts(corpus, text=text))
     chars = char_inventory(counts, coverage)
     n_merges = vocab_size - len(CONTROL_PIECES) - chars.count()
     if n_merges < 0:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from polyspark.functions.hashing import HASH_RANGE, NULL_MARK, SEPARATOR, content_key
 from polyspark.functions.text import WHITE_SPACE, words
 from polyspark.operators import prompts as P
+from polyspark.session import spread
 from polyspark.sources.templates import Template
 
 SEED = 1234
@@ -33,8 +34,13 @@ LANGID_SHORT = Template(
 TEMPLATES = [LANGID, LANGID_SHORT]
 
 
+# Tables whose rows cost much to process.
+TEXT_TABLES = ("documents", "conversations")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df, df.columns[0]) if name in TEXT_TABLES else df
 
 
 def langid_docs(spark: SparkSession, sf: str) -> DataFrame:

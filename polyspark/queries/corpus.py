@@ -57,12 +57,7 @@ from (select doc_id, regexp_extract_all(text, '(?s).') as c from documents)"""
 
 def word_vocabulary(spark, sf):
     """Every word that occurs at least twice, by rank, after one unknown piece."""
-    from pyspark.sql import Window
-
-    counts = V.word_counts(table(spark, sf, "documents")).where("n > 1")
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "word")
-    ranked = counts.select(F.row_number().over(order).cast("bigint").alias("id"), F.col("word").alias("piece"))
-    return ranked.select("id", "piece", (-F.col("id")).cast("double").alias("score"), F.lit(1).alias("type"))
+    return V.word_vocabulary(V.word_counts(table(spark, sf, "documents")), first_id=1)
 
 
 def tokenize_vocabulary(spark, sf):

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyspark.operators import vocab as V
 from polyspark.operators.tokens import tokenize
 from polyspark.queries.common import table, words_sql
+from polyspark.session import saved
 
 MERGES = 64
 NEW_VECTORS = 100
@@ -43,18 +43,11 @@ def learn_bpe(spark, sf):
     return merges.select("rank", "left", "right", "piece", "n", "score")
 
 
-def _ranked(counts: DataFrame) -> DataFrame:
-    """A vocabulary of whole words, most common first."""
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "word")
-    return counts.where("n > 1").select(
-        (F.row_number().over(order) - 1).cast("bigint").alias("id"), F.col("word").alias("piece")
-    ).select("id", "piece", (-F.col("id")).cast("double").alias("score"), F.lit(V.NORMAL).alias("type"))
-
-
 def vocabularies(spark, sf):
     """Old: the words of English documents; new: those of all documents."""
     docs = table(spark, sf, "documents")
-    return _ranked(V.word_counts(docs.where("lang = 'en'"))), _ranked(V.word_counts(docs))
+    english, every = V.word_counts(docs.where("lang = 'en'")), V.word_counts(docs)
+    return saved(V.word_vocabulary(english)), saved(V.word_vocabulary(every))
 
 
 VOCABULARIES_SQL = f"""

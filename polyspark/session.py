@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that can be changed on a running session.
 SETTINGS = {
@@ -45,6 +46,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: computed once, lineage cut.
+
+    One pass, where ``checkpoint()`` computes its input a second time to write it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Repartitions a scan that has fewer splits than the cluster has cores; else leaves it alone.
+
+    For input in a few files that cannot be split. A large table has many splits and
+    gets no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def local_session(cores: str | int = "*", partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench."""
     builder = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
@@ -23,7 +23,7 @@ def materialize(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     A folder without its success marker is an interrupted write and is written anew.
     """
     spark = df.sparkSession
-    if overwrite or not _exists(spark, f"{path}/_SUCCESS"):
+    if overwrite or not path_exists(spark, f"{path}/_SUCCESS"):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
