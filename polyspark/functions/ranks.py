@@ -27,31 +27,34 @@ def running_total(
     """Adds the sum of ``value`` over the rows before this one within ``keys``.
 
     The order is (buckets, order), so bucket columns must follow the wanted order.
+    Several bucket columns are levels: only the values of the first, per key, meet in
+    one task.
     """
+    columns = df.columns
     df = df.withColumn("_value", value.cast("bigint"))
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     inside = before.partitionBy(*keys, *buckets).orderBy(*order)
-    across = before.partitionBy(*keys).orderBy(*buckets)
-    starts = (
-        df.groupBy(*keys, *buckets)
-        .agg(F.sum("_value").alias("_total"))
-        .withColumn("_start", F.coalesce(F.sum("_total").over(across), F.lit(0)))
-        .drop("_total")
-    )
+    totals = df.groupBy(*keys, *buckets).agg(F.sum("_value").alias("_total"))
+    if len(buckets) == 1:
+        across = before.partitionBy(*keys).orderBy(*buckets)
+        starts = totals.withColumn("_start", F.coalesce(F.sum("_total").over(across), F.lit(0)))
+    else:
+        *outer, last = buckets
+        starts = running_total(totals, keys, outer, [F.col(last)], F.col("_total"), "_start")
+    starts = starts.drop("_total")
     rows = df.withColumn("_within", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    return (
-        null_safe_join(rows, starts, [*keys, *buckets])
-        .withColumn(out, (F.col("_start") + F.col("_within")).cast("bigint"))
-        .drop("_start", "_within", "_value")
-    )
+    total = (F.col("_start") + F.col("_within")).cast("bigint")
+    return null_safe_join(rows, starts, [*keys, *buckets]).select(*columns, total.alias(out))
 
 
-def cut_in_order(df: DataFrame, column: str, out: str, cuts: int = CUTS) -> DataFrame:
+def cut_in_order(df: DataFrame, column: str, out: str, cuts: int | None = None) -> DataFrame:
     """Adds a bucket number that grows with ``column`` and holds about 1/cuts of the rows.
 
-    The cut points are one row of at most ``cuts`` numbers, fetched once, so that a
-    retried task sees the same buckets.
+    There are at least as many buckets as shuffle partitions, unless given. The cut
+    points are one row of at most ``cuts`` numbers, fetched once, so that a retried
+    task sees the same buckets.
     """
+    cuts = cuts or max(CUTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / cuts for i in range(1, cuts)]
     points = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 10 * cuts)).first()[0] or []
     splits = [float("-inf"), *sorted(set(points)), float("inf")]
@@ -62,7 +65,7 @@ def cut_in_order(df: DataFrame, column: str, out: str, cuts: int = CUTS) -> Data
     return bucketed.drop("_as_double")
 
 
-def position_by(df: DataFrame, keys: list[str], order: str, out: str, cuts: int = CUTS) -> DataFrame:
+def position_by(df: DataFrame, keys: list[str], order: str, out: str, cuts: int | None = None) -> DataFrame:
     """0-based position of a row within ``keys`` by a numeric, unique ``order`` column."""
     cut = cut_in_order(df, order, "_bucket", cuts)
     return running_total(cut, keys, ["_bucket"], [F.col(order)], F.lit(1), out).drop("_bucket")

@@ -113,6 +113,20 @@ def ngrams(tokens: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
 
 
+def char_ngrams(text: Column, n: int) -> Column:
+    """Array of the character n-grams of a text."""
+    chars = characters(text)
+    if n == 1:
+        return chars
+    # n shifted copies of the characters, joined position by position
+    count = F.greatest(F.size(chars) - (n - 1), F.lit(0))
+    shifted = [F.slice(chars, F.lit(i + 1), count) for i in range(n)]
+    return F.transform(
+        F.arrays_zip(*[c.alias(f"c{i}") for i, c in enumerate(shifted)]),
+        lambda row: F.concat(*[row[f"c{i}"] for i in range(n)]),
+    )
+
+
 def cut_at_stops(text: Column, stops: Column) -> Column:
     """Text before the first stop string, the stops applied in turn; null stops are skipped."""
     return F.aggregate(

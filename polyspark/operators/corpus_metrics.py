@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polyspark.functions.text import characters, ngrams, tokens_13a, words
+from polyspark.functions.text import char_ngrams, ngrams, tokens_13a, words
+from polyspark.operators.doc_metrics import gram_counts
 
 # N-gram orders and weights of the published metrics.
 BLEU_ORDERS = [1, 2, 3, 4]
@@ -24,14 +25,18 @@ def _ref_sides(refs: str, n: int) -> Column:
     return F.flatten(F.transform(refs, lambda r, i: _side(ngrams(r, n), n, i)))
 
 
-def _gram_sides(pairs: DataFrame, keys: list[str], pred: Column, refs: Column, orders: list[int]) -> DataFrame:
-    """Counts of each n-gram in the prediction (side -1) and in each reference (side 0, 1, ...)."""
-    tokens = pairs.repartition(*keys).select(*keys, pred.alias("_pred"), refs.alias("_refs"))
-    parts = []
+def _gram_sides(tokens: DataFrame, keys: list[str], pred: Column, refs: str, orders: list[int]) -> DataFrame:
+    """Counts of each n-gram in the prediction (side -1) and in each reference (side 0, 1, ...).
+
+    The pairs are shuffled once, as tokens, and counted where they are. A null gram of
+    side -2 keeps pairs without n-grams.
+    """
+    empty = F.struct(F.lit(1).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(-2).alias("side"))
+    parts = [F.array(empty)]
     for n in orders:
-        parts.append(_side(ngrams(F.col("_pred"), n), n, F.lit(-1)))
-        parts.append(_ref_sides("_refs", n))
-    flat = tokens.select(*keys, F.inline(F.concat(*parts)))
+        parts.append(_side(ngrams(pred, n), n, F.lit(-1)))
+        parts.append(_ref_sides(refs, n))
+    flat = tokens.repartition(*keys).select(*keys, F.inline(F.concat(*parts)))
     return flat.groupBy(*keys, "n", "gram", "side").agg(F.count(F.lit(1)).alias("c"))
 
 
@@ -49,29 +54,26 @@ def bleu_stats(
     tokens = pairs.select(
         *keys, tokenize(F.col(pred)).alias("_p"), F.transform(refs, lambda r: tokenize(r)).alias("_r")
     )
+    size = F.size("_p")
+    closest = F.array_min(
+        F.transform("_r", lambda r: F.struct(F.abs(F.size(r) - size).alias("off"), F.size(r).alias("len")))
+    )["len"]
+    # the lengths ride along as keys, so that no join is needed
+    sized = tokens.withColumns({"sys_len": size.cast("bigint"), "ref_len": closest.cast("bigint")})
+    pair = [*keys, "sys_len", "ref_len"]
     per_gram = (
-        _gram_sides(tokens, keys, F.col("_p"), F.col("_r"), BLEU_ORDERS)
-        .groupBy(*keys, "n", "gram")
+        _gram_sides(sized, pair, F.col("_p"), "_r", BLEU_ORDERS)
+        .groupBy(*pair, "n", "gram")
         .agg(
             F.sum(F.when(F.col("side") == -1, F.col("c")).otherwise(0)).alias("p"),
             F.max(F.when(F.col("side") >= 0, F.col("c")).otherwise(0)).alias("r"),
         )
     )
-    correct = per_gram.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("n") == n, F.least("p", "r")).otherwise(0)).alias(f"correct_{n}") for n in BLEU_ORDERS]
-    )
-    size = F.size("_p")
-    closest = F.array_min(
-        F.transform("_r", lambda r: F.struct(F.abs(F.size(r) - size).alias("off"), F.size(r).alias("len")))
-    )["len"]
-    lengths = tokens.select(
-        *keys,
-        *[F.greatest(size - (n - 1), F.lit(0)).cast("bigint").alias(f"total_{n}") for n in BLEU_ORDERS],
-        size.cast("bigint").alias("sys_len"),
-        closest.cast("bigint").alias("ref_len"),
+    of = lambda n, c: F.sum(F.when(F.col("n") == n, c).otherwise(0))
+    return per_gram.groupBy(*pair).agg(
+        *[of(n, F.least("p", "r")).alias(f"correct_{n}") for n in BLEU_ORDERS],
+        *[of(n, F.col("p")).alias(f"total_{n}") for n in BLEU_ORDERS],
     )
-    filled = {f"correct_{n}": F.coalesce(f"correct_{n}", F.lit(0)) for n in BLEU_ORDERS}
-    return lengths.join(correct, keys, "left").withColumns(filled)
 
 
 BLEU_SUMS = [f"{kind}_{n}" for kind in ("correct", "total") for n in BLEU_ORDERS] + ["sys_len", "ref_len"]
@@ -106,34 +108,25 @@ def bleu(stats: DataFrame, by: list[str]) -> DataFrame:
 
 
 def chrf_stats(pairs: DataFrame, keys: list[str], pred: str = "prediction", refs: str = "references") -> DataFrame:
-    """Per pair: hyp_1..6, ref_1..6, match_1..6 of character n-grams without white space.
+    """Per pair: hyp_1..6, ref_1..6, match_1..6 of the character n-grams without white space.
 
     With several references, those of the reference with the best score are kept.
     """
-    squeezed = lambda text: characters(F.array_join(words(text), ""))
+    squeezed = lambda text: F.array_join(words(text), "")
     one = pairs.select(*keys, F.col(pred).alias("_pred"), F.posexplode(refs).alias("ref_idx", "_one"))
     per_ref = [*keys, "ref_idx"]
-    tokens = one.select(*per_ref, squeezed(F.col("_pred")).alias("_p"), F.array(squeezed(F.col("_one"))).alias("_r"))
-    sides = _gram_sides(tokens, per_ref, F.col("_p"), F.col("_r"), CHRF_ORDERS)
-    matched = (
-        sides.groupBy(*per_ref, "n", "gram")
-        .agg(
-            F.sum(F.when(F.col("side") == -1, F.col("c")).otherwise(0)).alias("p"),
-            F.sum(F.when(F.col("side") == 0, F.col("c")).otherwise(0)).alias("r"),
-        )
-        .groupBy(*per_ref)
-        .agg(*[F.sum(F.when(F.col("n") == n, F.least("p", "r")).otherwise(0)).alias(f"match_{n}") for n in CHRF_ORDERS])
+    tokens = one.select(*per_ref, squeezed(F.col("_pred")).alias("_p"), squeezed(F.col("_one")).alias("_r"))
+    counts = gram_counts(tokens, per_ref, {"p": F.col("_p"), "r": F.col("_r")}, CHRF_ORDERS, char_ngrams)
+    of = lambda n, c: F.sum(F.when(F.col("n") == n, c).otherwise(0))
+    sums = counts.groupBy(*per_ref).agg(
+        *[of(n, F.col("p")).alias(f"_hyp_{n}") for n in CHRF_ORDERS],
+        *[of(n, F.col("r")).alias(f"ref_{n}") for n in CHRF_ORDERS],
+        *[of(n, F.least("p", "r")).alias(f"match_{n}") for n in CHRF_ORDERS],
     )
-    count = lambda side, n: F.greatest(F.size(side) - (n - 1), F.lit(0)).cast("bigint")
-    ref_side = F.element_at("_r", 1)
-    sizes = tokens.select(
-        *per_ref,
-        # a prediction's n-grams count only where the reference has n-grams of that order
-        *[F.when(count(ref_side, n) > 0, count("_p", n)).otherwise(0).alias(f"hyp_{n}") for n in CHRF_ORDERS],
-        *[count(ref_side, n).alias(f"ref_{n}") for n in CHRF_ORDERS],
+    # a prediction's n-grams count only where the reference has n-grams of that order
+    full = sums.withColumns(
+        {f"hyp_{n}": F.when(F.col(f"ref_{n}") > 0, F.col(f"_hyp_{n}")).otherwise(0) for n in CHRF_ORDERS}
     )
-    filled = {f"match_{n}": F.coalesce(f"match_{n}", F.lit(0)) for n in CHRF_ORDERS}
-    full = sizes.join(matched, per_ref, "left").withColumns(filled)
     best = F.max_by(F.struct(*CHRF_SUMS), F.struct(chrf_score(), -F.col("ref_idx")))
     return full.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
 

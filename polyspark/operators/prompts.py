@@ -345,8 +345,10 @@ def prompt_preview(df: DataFrame, n: int, by: list[str], order: list[str]) -> Da
     """The first ``n`` contexts per group, with a divider line."""
     window = Window.partitionBy(*by).orderBy(*order)
     return (
-        df.withColumn("example", F.row_number().over(window) - 1)
-        .where(F.col("example") < n)
+        df.withColumn("_row", F.row_number().over(window))
+        .where(F.col("_row") <= n)
+        .withColumn("example", F.col("_row") - 1)
+        .drop("_row")
         .withColumn(
             "shown", F.concat(F.lit(EXAMPLE_DIVIDER), F.col("example").cast("string"), F.lit("\n"), F.col("ctx"), F.lit("\n"))
         )
@@ -355,8 +357,9 @@ def prompt_preview(df: DataFrame, n: int, by: list[str], order: list[str]) -> Da
 
 def page(df: DataFrame, by: list[str], order: str, number: int, rows: int = PAGE_ROWS) -> DataFrame:
     """The rows of one page of each group."""
-    placed = position_by(df, by, order, "position")
-    return placed.where((F.col("position") >= number * rows) & (F.col("position") < (number + 1) * rows))
+    placed = position_by(df.select(*by, order), by, order, "position")
+    wanted = placed.where((F.col("position") >= number * rows) & (F.col("position") < (number + 1) * rows))
+    return df.join(wanted, [*by, order])
 
 
 def translation_direction(df: DataFrame, dataset: str, template: str) -> DataFrame:

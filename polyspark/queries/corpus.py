@@ -10,6 +10,7 @@ from polyspark.operators import corpus as C
 from polyspark.operators import vocab as V
 from polyspark.operators.tokens import tokenize
 from polyspark.queries.common import hash_int_sql, hash_unit_sql, table, words_sql
+from polyspark.session import saved
 from polyspark.sources.corpus import read_corpus as read
 
 BLOCK = 512
@@ -57,7 +58,7 @@ from (select doc_id, regexp_extract_all(text, '(?s).') as c from documents)"""
 
 def word_vocabulary(spark, sf):
     """Every word that occurs at least twice, by rank, after one unknown piece."""
-    return V.word_vocabulary(V.word_counts(table(spark, sf, "documents")), first_id=1)
+    return V.word_vocabulary(saved(V.word_counts(table(spark, sf, "documents"))), first_id=1)
 
 
 def tokenize_vocabulary(spark, sf):

@@ -46,7 +46,7 @@ def learn_bpe(spark, sf):
 def vocabularies(spark, sf):
     """Old: the words of English documents; new: those of all documents."""
     docs = table(spark, sf, "documents")
-    english, every = V.word_counts(docs.where("lang = 'en'")), V.word_counts(docs)
+    english, every = saved(V.word_counts(docs.where("lang = 'en'"))), saved(V.word_counts(docs))
     return saved(V.word_vocabulary(english)), saved(V.word_vocabulary(every))
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # a small shuffle before costly work (n-grams, Python) still uses every core
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even where the split costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
