@@ -116,7 +116,8 @@ def chrf_stats(pairs: DataFrame, keys: list[str], pred: str = "prediction", refs
     one = pairs.select(*keys, F.col(pred).alias("_pred"), F.posexplode(refs).alias("ref_idx", "_one"))
     per_ref = [*keys, "ref_idx"]
     tokens = one.select(*per_ref, squeezed(F.col("_pred")).alias("_p"), squeezed(F.col("_one")).alias("_r"))
-    counts = gram_counts(tokens, per_ref, {"p": F.col("_p"), "r": F.col("_r")}, CHRF_ORDERS, char_ngrams)
+    sides = {"p": lambda n: char_ngrams(F.col("_p"), n), "r": lambda n: char_ngrams(F.col("_r"), n)}
+    counts = gram_counts(tokens, per_ref, sides, CHRF_ORDERS)
     of = lambda n, c: F.sum(F.when(F.col("n") == n, c).otherwise(0))
     sums = counts.groupBy(*per_ref).agg(
         *[of(n, F.col("p")).alias(f"_hyp_{n}") for n in CHRF_ORDERS],

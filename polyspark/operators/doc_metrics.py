@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -59,21 +61,22 @@ def _tagged(grams: Column, n: int, side: int) -> Column:
 
 
 def gram_counts(
-    pairs: DataFrame, keys: list[str], sides: dict[str, Column], orders: list[int], grams=ngrams
+    pairs: DataFrame, keys: list[str], sides: dict[str, Callable[[int], Column]], orders: list[int]
 ) -> DataFrame:
     """How often each n-gram occurs on each side: ``keys``, n, gram and one count column per side.
 
-    The pairs are shuffled once, as texts, by their keys; the grams are then counted
-    where they are. Every (keys, n) has a row with a null gram, so empty texts stay.
+    A side gives its array of n-grams for n. The pairs are shuffled once, as texts, by
+    their keys; the grams are then counted where they are. Every (keys, n) has a row
+    with a null gram, so empty texts stay.
     """
-    names = list(sides)
     parts = []
     for n in orders:
-        parts.append(F.array(F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(-1).alias("side"))))
-        parts += [_tagged(grams(sides[name], n), n, i) for i, name in enumerate(names)]
+        empty = F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(-1).alias("side"))
+        parts.append(F.array(empty))
+        parts += [_tagged(grams(n), n, i) for i, grams in enumerate(sides.values())]
     flat = pairs.repartition(*keys).select(*keys, F.inline(F.concat(*parts)))
     return flat.groupBy(*keys, "n", "gram").agg(
-        *[F.count_if(F.col("side") == i).alias(name) for i, name in enumerate(names)]
+        *[F.count_if(F.col("side") == i).alias(name) for i, name in enumerate(sides)]
     )
 
 
@@ -102,7 +105,8 @@ def rouge_n(
         tokens_for_rouge(F.col(ref), stemmed).alias("_ref"),
         tokens_for_rouge(F.col(pred), stemmed).alias("_pred"),
     )
-    counts = gram_counts(tokens, keys, {"in_ref": F.col("_ref"), "in_pred": F.col("_pred")}, orders)
+    sides = {"in_ref": lambda n: ngrams(F.col("_ref"), n), "in_pred": lambda n: ngrams(F.col("_pred"), n)}
+    counts = gram_counts(tokens, keys, sides, orders)
     sums = counts.groupBy(*keys, "n").agg(
         F.sum(F.least("in_ref", "in_pred")).alias("hits"),
         F.sum("in_ref").alias("n_ref"),
@@ -291,24 +295,12 @@ def sari(
     )
     with_m = [*keys, "_m"]
 
-    def grams(side: Column, n: int) -> Column:
-        return ngrams(side, n)
-
-    def ref_grams(side: Column, n: int) -> Column:
-        return F.flatten(F.transform(side, lambda r: ngrams(r, n)))
-
-    parts = []
-    for n in (1, 2, 3, 4):
-        parts.append(F.array(F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(-1).alias("side"))))
-        parts += [
-            _tagged(grams(F.col("_s"), n), n, 0),
-            _tagged(grams(F.col("_c"), n), n, 1),
-            _tagged(ref_grams(F.col("_refs"), n), n, 2),
-        ]
-    flat = tokens.repartition(*keys).select(*with_m, F.inline(F.concat(*parts)))
-    counts = flat.groupBy(*with_m, "n", "gram").agg(
-        *[F.count_if(F.col("side") == i).alias(name) for i, name in enumerate(("s", "c", "r"))]
-    )
+    sides = {
+        "s": lambda n: ngrams(F.col("_s"), n),
+        "c": lambda n: ngrams(F.col("_c"), n),
+        "r": lambda n: F.flatten(F.transform("_refs", lambda ref: ngrams(ref, n))),
+    }
+    counts = gram_counts(tokens, with_m, sides, [1, 2, 3, 4])
     s, c, r = F.col("s") * F.col("_m"), F.col("c") * F.col("_m"), F.col("r")
     keep, keep_all = F.least(s, c), F.least(s, r)
     keep_good = F.least(keep, r)

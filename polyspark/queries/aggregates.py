@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polyspark.functions.hashing import hash_int, hash_unit
-from polyspark.functions.text import words
 from polyspark.operators import aggregates as G
 from polyspark.operators import corpus_metrics as CM
 from polyspark.operators import doc_metrics as M
 from polyspark.operators import prompts as P
 from polyspark.queries import common as Q
-from polyspark.queries.doc_metrics import PAIR, _rolling, gram_sql, ll_sql, picked_docs
+from polyspark.queries.doc_metrics import LL_SQL, PAIR, _rolling, gram_sql, picked_docs
 
 ROUNDS = 100
 
@@ -180,7 +179,7 @@ def weighted_perplexity(spark, sf):
 
 
 WEIGHTED_SQL = f"""
-with {ll_sql()},
+with {LL_SQL},
 m as (select lang, 'word_perplexity' as metric, exp(-sum(ll) / sum(words)) as value, count(*) as n from parts group by lang
       union all select lang, 'byte_perplexity', exp(-sum(ll) / sum(bytes)), count(*) from parts group by lang
       union all select lang, 'bits_per_byte', -sum(ll) / sum(bytes) / ln(2), count(*) from parts group by lang)

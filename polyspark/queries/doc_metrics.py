@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from polyspark.functions.text import count_bytes, count_words, segment_unspaced
 from polyspark.functions.text import detokenize as detok
-from polyspark.functions.text import segment_unspaced
 from polyspark.operators import doc_metrics as M
 from polyspark.operators import prompts as P
 from polyspark.operators import scoring as S
 from polyspark.queries import common as Q
+from polyspark.queries.scoring import NGRAM_SQL, lm_docs
 
 PAIR = ["conv_id", "turn"]
 
@@ -142,17 +143,13 @@ from fig group by all"""
 
 def _rolling(spark, sf):
     """Documents with the summed bigram score of their words."""
-    from polyspark.queries.scoring import _lm_docs
-
-    docs = _lm_docs(spark, sf)
+    docs = lm_docs(spark, sf)
     lm = S.train_ngram_lm(docs, ["lang"], "tokens")
     scores = S.score_ngram(lm, docs, ["lang"], ["doc_id"], "tokens").select("doc_id", "ll")
     return Q.langid_docs(spark, sf).join(scores, "doc_id")
 
 
 def count_words_bytes(spark, sf):
-    from polyspark.functions.text import count_bytes, count_words
-
     docs = Q.table(spark, sf, "documents")
     return docs.select("doc_id", count_words(F.col("text")).alias("words"), count_bytes(F.col("text")).alias("bytes"))
 
@@ -169,10 +166,7 @@ def perplexity_parts(spark, sf):
     )
 
 
-def ll_sql() -> str:
-    from polyspark.queries.scoring import NGRAM_SQL
-
-    return NGRAM_SQL + f""",
+LL_SQL = NGRAM_SQL + f""",
 lls as (select lang, doc_id, sum(ln((n_pair + 0.5::DOUBLE) / (n_ctx + 0.5::DOUBLE * (n_vocab + 1)))) as ll
         from p join bi using (lang, w1, w2) join ctx using (lang, w1) join tot using (lang) group by all),
 parts as (select doc_id, lls.lang, ll, len({Q.space_split_sql("text")}) as words, strlen(text) as bytes
@@ -180,7 +174,7 @@ parts as (select doc_id, lls.lang, ll, len({Q.space_split_sql("text")}) as words
 
 
 PARTS_SQL = f"""
-with {ll_sql()}
+with {LL_SQL}
 select doc_id, words::BIGINT as words, bytes::BIGINT as bytes, round(-ll / words, 4) as log_word_perplexity,
        round(exp(-ll / bytes), 4) as byte_perplexity_instance, round(-ll / bytes / ln(2), 4) as bits_per_byte_instance
 from parts"""

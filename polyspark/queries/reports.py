@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from polyspark.functions.text import count_words, words
@@ -100,8 +103,6 @@ def language_table(spark, sf):
     """Languages of the documents as iso_Script, seen if a fifth of the documents or more are in it."""
     counts = Q.table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     total = Q.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n")).select(F.lit("*").alias("lang"), "n")
-    from pyspark.sql import Window
-
     both = counts.unionByName(total).withColumn(
         "all", F.max(F.when(F.col("lang") == "*", F.col("n"))).over(Window.partitionBy(F.lit(0)))
     )
@@ -269,8 +270,6 @@ from (select source, lang, count(*) as n from documents group by all)"""
 
 def written_results(spark, sf):
     """Result files of the zero-shot run, written and read back: rows and scores per file kind and language."""
-    import uuid
-
     out = f"{checkpoint_dir(spark)}/results-{uuid.uuid4().hex}"
     picked = materialize(picked_docs(spark, sf, 0), f"{out}/{stage_key('dummy', 'langid', 4)}")
     results = G.aggregate_results(M.long_metrics(picked, [*P.BY, "doc_id"], ["acc", "acc_norm"]), P.BY)

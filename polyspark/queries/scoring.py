@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -188,8 +190,6 @@ select doc_id, req_idx::BIGINT as req_idx, {KEY_SQL} as request_key, round(ll, 9
 
 def cached_scores(spark, sf):
     """Scores of all requests after the English ones were already in the cache."""
-    import uuid
-
     cache = f"{checkpoint_dir(spark)}/scores-{uuid.uuid4().hex}"
     requests = _zero_shot_requests(spark, sf)
     S.cached_scores(requests.where("lang = 'en'"), cache, S.score_dummy, ["doc_id", "req_idx"])
@@ -228,12 +228,12 @@ select distinct {KEY_SQL} as request_key, round((-length(cont))::DOUBLE - (lengt
        length(cont) < 4 as is_greedy from requests"""
 
 
-def _lm_docs(spark, sf):
+def lm_docs(spark, sf):
     return Q.table(spark, sf, "documents").select("lang", "doc_id", words(F.lower("text")).alias("tokens"))
 
 
 def train_ngram_lm(spark, sf):
-    lm = S.train_ngram_lm(_lm_docs(spark, sf), ["lang"], "tokens")
+    lm = S.train_ngram_lm(lm_docs(spark, sf), ["lang"], "tokens")
     return lm["bigrams"].join(lm["contexts"], ["lang", "w1"])
 
 
@@ -248,7 +248,7 @@ TRAIN_SQL = f"with {NGRAM_SQL} select lang, w1, w2, n_pair::BIGINT as n_pair, n_
 
 
 def _score_docs(spark, sf, order):
-    docs = _lm_docs(spark, sf)
+    docs = lm_docs(spark, sf)
     lm = S.train_ngram_lm(docs, ["lang"], "tokens")
     return S.score_ngram(lm, docs, ["lang"], ["doc_id"], "tokens", order=order)
 
