@@ -193,8 +193,8 @@ def learn_bpe(
     lineage is cut in the shared checkpoint folder.
     """
     spark = counts.sparkSession
-    # an explicit number keeps the words spread out over every later round
-    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit number keeps the words spread over all cores in every later round
+    parallel = spark.sparkContext.defaultParallelism
     state = saved(start_symbols(counts).repartition(parallel, "symbols"))
     pairs = saved(pair_counts(state, max_length))
     merges: list[tuple[int, str, str, str, int, float]] = []
