@@ -56,7 +56,17 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table that ``saved`` wrote, once nothing built from it will run again."""
+    jvm, path = df.sparkSession._jvm, getattr(df, "saved_at", None)
+    if path:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
