@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +29,27 @@ def tune(spark: SparkSession) -> SparkSession:
     """Applies the settings to a session made elsewhere."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a context: their Python need not have it installed.
+
+    The driver serves the archive to executors, so it may lie in the driver's own folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_has_polyspark", None):
+        return
+    package = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="polyspark-"), "polyspark.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent).as_posix())
+    context.addPyFile(archive)
+    context._has_polyspark = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and saved stages.
 
