@@ -150,3 +150,15 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+BROADCAST_ROWS = 200_000
+
+
+def join_small(large: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
+    """Equi-join whose narrow right side is broadcast only if it has at most ``most`` rows, else shuffled.
+
+    The right side is counted first, so pass a saved table.
+    """
+    few = small.limit(most + 1).count() <= most
+    return large.join(F.broadcast(small) if few else small, on, how)

@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyspark.llm import mixing, warc
+from polyspark.llm import minhash, mixing, warc
 from polyspark.llm.common import read_table
 from polyspark.session import checkpoint_dir
 
@@ -56,7 +56,30 @@ select q.page_id, q.payload_bytes, q.payload_digest,
 from q left join f using (payload_digest)
 """
 
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+e as (select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+             else list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) end s from d),
+n as (select doc_id, len(s)::bigint n_shingles from e),
+c as (select s, min(doc_id) rep from e where len(s) > 0 group by s),
+x as (select rep, unnest(s) g from c),
+p as (select a.rep a, b.rep b, count(*) k from x a join x b on a.g = b.g and a.rep < b.rep group by 1, 2),
+l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * k >= 85 * (na.n_shingles + nb.n_shingles - k)),
+u as (select a, b from l union all select b, a from l),
+r(a, b) as (select rep, rep from c union select r.a, u.b from r join u on r.b = u.a),
+m as (select a rep, min(b) component_id from r group by 1)
+select e.doc_id, n.n_shingles, coalesce(m.component_id, e.doc_id) component_id, coalesce(m.component_id, e.doc_id) = e.doc_id kept
+from e join n using (doc_id) left join c on c.s = e.s and n.n_shingles > 0 left join m on m.rep = c.rep
+"""
+
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op9_warc": (op9_warc, OP9_SQL),
+    "op10_minhash": (op10_minhash, OP10_SQL),
 }
