@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyspark.llm import minhash, mixing, warc
+from polyspark.llm import automaton, minhash, mixing, suffixes, warc
 from polyspark.llm.common import read_table
 from polyspark.session import checkpoint_dir
 
@@ -57,6 +57,42 @@ from q left join f using (payload_digest)
 """
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed_bytes(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP4_SQL = """
+with d as (select doc_id, encode(coalesce(text, '')) b, octet_length(encode(coalesce(text, '')))::bigint n from documents),
+p as (select doc_id, b, unnest(range(1, n + 1)) i, n from d),
+w as (select doc_id, i, md5(hex(b[i:i + 49])) h from p where i + 49 <= n),
+f as (select h, min(doc_id) first from w group by 1 having count(*) > 1),
+r as (select w.doc_id, w.i from w join f using (h) where f.first < w.doc_id),
+m as (select p.doc_id, p.i, hex(p.b[p.i:p.i]) x, max(r.i) over (partition by p.doc_id order by p.i) >= p.i - 49 gone from p left join r using (doc_id, i)),
+s as (select *, coalesce(gone, false) g, coalesce(lag(gone) over (partition by doc_id order by i), false) before from m),
+k as (select doc_id, count(*) filter (g) n_removed, count(*) filter (g and not before) n_spans,
+             sha256(unhex(coalesce(string_agg(x, '' order by i) filter (not g), ''))) kept_sha256 from s group by 1)
+select d.doc_id, d.n n_bytes, coalesce(n_removed, 0)::bigint n_removed, coalesce(n_spans, 0)::bigint n_spans, coalesce(kept_sha256, sha256('')) kept_sha256
+from d left join k using (doc_id)
+"""
+
+
+def op5_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton.removed_words(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP5_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+p as (select doc_id, w, unnest(range(1, len(w) + 1)) i from d),
+v as (select doc_id, i, array_to_string(w[i:i + 19], ' ') g from p where i + 19 <= len(w)),
+f as (select g, min((doc_id, i)) first from v group by 1 having count(*) > 1),
+r as (select v.doc_id, v.i from v join f using (g) where f.first < (v.doc_id, v.i)),
+m as (select p.doc_id, p.i, p.w[p.i] x, coalesce(max(r.i) over (partition by p.doc_id order by p.i) >= p.i - 19, false) gone from p left join r using (doc_id, i)),
+k as (select doc_id, count(*) filter (gone) n_removed, sha256(coalesce(string_agg(x, ' ' order by i) filter (not gone), '')) kept_sha256 from m group by 1)
+select d.doc_id, len(d.w)::bigint n_words, coalesce(n_removed, 0)::bigint n_removed, coalesce(kept_sha256, sha256('')) kept_sha256
+from d left join k using (doc_id)
+"""
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -81,5 +117,7 @@ from e join n using (doc_id) left join c on c.s = e.s and n.n_shingles > 0 left
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op9_warc": (op9_warc, OP9_SQL),
+    "op4_suffix_array": (op4_suffix_array, OP4_SQL),
+    "op5_automaton": (op5_automaton, OP5_SQL),
     "op10_minhash": (op10_minhash, OP10_SQL),
 }
