@@ -10,8 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyspark.llm import automaton, minhash, mixing, suffixes, warc
-from polyspark.llm.common import read_table
+from polyspark.llm import automaton, decontam, langid, minhash, mixing, quality, suffixes, warc
+from polyspark.llm.common import held_out, read_table
 from polyspark.session import checkpoint_dir
 
 
@@ -57,6 +57,22 @@ from q left join f using (payload_digest)
 """
 
 
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("th")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    named = langid.identify(docs, langid.fit(docs))
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed_bytes(read_table(spark, sf_dir, "documents")).drop("kept")
 
@@ -117,7 +133,10 @@ from e join n using (doc_id) left join c on c.s = e.s and n.n_shingles > 0 left
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op9_warc": (op9_warc, OP9_SQL),
+    "op2_decontam": (op2_decontam, None),
+    "op3_quality": (op3_quality, None),
     "op4_suffix_array": (op4_suffix_array, OP4_SQL),
     "op5_automaton": (op5_automaton, OP5_SQL),
+    "op6_langid": (op6_langid, None),
     "op10_minhash": (op10_minhash, OP10_SQL),
 }

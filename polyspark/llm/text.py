@@ -101,14 +101,16 @@ class Words:
         return np.repeat(np.arange(len(self.offs) - 1), np.diff(self.offs))
 
 
-def bounds_of_words(texts: Texts, data: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def bounds_of_words(
+    texts: Texts, data: np.ndarray | None = None, separators: np.ndarray = SEPARATORS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words in bytes, and the number of words before each text."""
     data = texts.data if data is None else data
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(texts) + 1, np.int64)
-    word = ~SEPARATORS[data]
+    word = ~separators[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     inner = texts.offs[:-1][texts.offs[:-1] < n]
@@ -130,10 +132,10 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(h ^ ((ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93)))
 
 
-def words_of(texts: Texts, lower: bool = False) -> Words:
+def words_of(texts: Texts, lower: bool = False, separators: np.ndarray = SEPARATORS) -> Words:
     """All words; ``lower`` folds A to Z only."""
     data = LOWER[texts.data] if lower else texts.data
-    starts, ends, offs = bounds_of_words(texts, data)
+    starts, ends, offs = bounds_of_words(texts, data, separators)
     return Words(starts, ends, range_hashes(data, starts, ends), offs)
 
 
