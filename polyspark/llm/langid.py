@@ -24,10 +24,10 @@ DIMENSIONS = 16
 SAMPLE_PER_LANGUAGE = 500  # labelled rows a model is fitted on: about so many of each language
 SAMPLE_CHARACTERS = 1 << 16  # longer texts are not drawn for the sample
 SAMPLE_LANGUAGES = 256  # languages with most labelled rows; bounds what reaches the driver
-EPOCHS = 6
+STEPS = 1500  # gradient steps: whole passes over the sample, at least so many
 RATE = 0.5
 STEP = 40  # an averaged row moves little by itself
-BATCH = 32
+BATCH = 16
 ACCEPT = 0.999  # share of rightly predicted calibration texts that rejection must let pass
 UNKNOWN = "und"
 
@@ -97,8 +97,9 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Model:
     bias = np.zeros(len(languages), np.float32)
     calibrate = np.arange(len(rows)) % 5 == 4
     learn = np.flatnonzero(~calibrate & (np.diff(bounds) > 0))
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = -(-STEPS // max(1, -(-len(learn) // BATCH)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         rng.shuffle(learn)
         for a in range(0, len(learn), BATCH):
             batch = learn[a : a + BATCH]
