@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyspark.llm import automaton, decontam, langid, minhash, mixing, quality, suffixes, warc
+from polyspark.llm import automaton, covertree, decontam, langid, minhash, mixing, quality, suffixes, warc
 from polyspark.llm.common import held_out, read_table
 from polyspark.session import checkpoint_dir
 
@@ -57,6 +57,25 @@ from q left join f using (payload_digest)
 """
 
 
+def op1_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+with recursive v as (
+  select vec_id, label, embedding::double[] e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id a, b.vec_id b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+      where list_cosine_similarity(a.e, b.e) >= 0.93),
+r(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from r join l on l.a = r.b),
+c as (select a vec_id, min(b) component_id from r group by 1),
+n as (select a vec_id, count(*) n from l group by 1)
+select e.vec_id, coalesce(n.n, 0)::bigint n_links, c.component_id, e.vec_id = c.component_id kept
+from embeddings e join c using (vec_id) left join n using (vec_id)
+"""
+
+
 def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("th")
 
@@ -133,6 +152,7 @@ from e join n using (doc_id) left join c on c.s = e.s and n.n_shingles > 0 left
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op9_warc": (op9_warc, OP9_SQL),
+    "op1_covertree": (op1_covertree, OP1_SQL),
     "op2_decontam": (op2_decontam, None),
     "op3_quality": (op3_quality, None),
     "op4_suffix_array": (op4_suffix_array, OP4_SQL),
