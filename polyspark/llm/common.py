@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -28,6 +29,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps, which it does once their plans are collected as garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def by_group(
     df: DataFrame,
     key: str,

@@ -21,10 +21,10 @@ from polyspark.llm.windows import BYTES, merged, verdicts, with_spans
 DEPTH = 50  # suffixes are ordered by so many bytes, the length that must repeat
 
 
-def _words_at(padded: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    """The k-th 8 bytes from each position on, so that numbers order as bytes do."""
+def _words_at(padded: np.ndarray, at: np.ndarray, skip: int) -> np.ndarray:
+    """The 8 bytes that stand ``skip`` after each position, so that numbers order as bytes do."""
     view = np.ndarray(len(padded) - 7, ">u8", padded, 0, (1,))
-    return view[at + 8 * k].astype(np.uint64)
+    return view[at + skip].astype(np.uint64)
 
 
 def smaller_suffixes(data: np.ndarray) -> np.ndarray:
@@ -39,27 +39,32 @@ def smaller_suffixes(data: np.ndarray) -> np.ndarray:
 
 
 def direct_sort(padded: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Positions in order of the ``depth`` bytes (in steps of 8) that start there."""
+    """Positions in order of the ``depth`` bytes that start there: by 8 bytes, then ties by 5 more at a time."""
     if len(at) < 2:
         return at
     key = _words_at(padded, at, 0)
     order = np.argsort(key)
     at, key = at[order], key[order]
     tied = np.concatenate([[False], key[1:] == key[:-1]])
-    for k in range(1, -(-depth // 8)):
-        group = np.cumsum(~tied)
+    done = 8
+    while done < depth:
         open_ = tied.copy()
         open_[:-1] |= tied[1:]
         rows = np.flatnonzero(open_)
         if not len(rows):
             break
-        g, key = group[rows], _words_at(padded, at[rows], k)
-        order = np.lexsort((key, g))
-        at[rows] = at[rows][order]
-        key, g = key[order], g[order]
-        same = np.concatenate([[False], (key[1:] == key[:-1]) & (g[1:] == g[:-1])])
+        take = min(5, depth - done)
+        key = _words_at(padded, at[rows], done) >> np.uint64(64 - 8 * take)
+        group = np.cumsum(~tied[rows]).astype(np.uint64)
+        if group[-1] < 1 << 24:
+            key |= group << np.uint64(40)
+            order = np.argsort(key)
+        else:  # more ties than fit beside the bytes
+            order = np.lexsort((key, group))
+        at[rows], key, group = at[rows][order], key[order], group[order]
         tied = np.zeros(len(at), bool)
-        tied[rows] = same
+        tied[rows[1:]] = (key[1:] == key[:-1]) & (group[1:] == group[:-1])
+        done += take
     return at
 
 
@@ -106,7 +111,7 @@ def agree(padded: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int = DEPTH)
     """Whether the common prefix of the suffixes a and b has at least ``depth`` bytes."""
     rows = np.arange(len(a))
     for k in range(-(-depth // 8)):
-        x, y = _words_at(padded, a[rows], k), _words_at(padded, b[rows], k)
+        x, y = _words_at(padded, a[rows], 8 * k), _words_at(padded, b[rows], 8 * k)
         spare = 8 * (k + 1) - depth
         if spare > 0:
             x, y = x >> np.uint64(8 * spare), y >> np.uint64(8 * spare)

@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from polyspark.llm.common import by_group, shuffle_partitions
+from polyspark.llm.common import by_group, shuffle_partitions, tidy
 from polyspark.llm.text import U64, Texts, binary_column, bounds_of_words, grams, mix, ranges, range_hashes, slices
-from polyspark.session import discard, saved
+from polyspark.session import saved
 
 FILTER_BITS = 1 << 27
 LONGEST = 64
 LAST_ID = (1 << 63) - 1
-VERDICTS = "route long, seg long, froms array<int>, tos array<int>, docs array<long>, bases array<long>"
+VERDICTS = "route long, seg int, froms array<int>, tos array<int>, docs array<long>, bases array<long>"
 
 
 @dataclass(frozen=True)
@@ -43,10 +43,11 @@ class Kind:
     width: int
     gram: int
     words: bool
+    group_bytes: int  # of segments searched at once
 
 
-BYTES = Kind(50, 16, words=False)
-WORDS = Kind(20, 4, words=True)
+BYTES = Kind(50, 12, words=False, group_bytes=3 << 20)
+WORDS = Kind(20, 4, words=True, group_bytes=3 << 19)
 
 
 @dataclass
@@ -151,7 +152,7 @@ def repeated_routes(docs: DataFrame, kind: Kind) -> np.ndarray:
     segment = FILTER_BITS // buckets // 8 * 8
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches, limit=8 << 20):
+        for _, texts in slices(batches):
             hashes, offs, _ = _units(kind, texts)
             runs = runs_of(kind, hashes, offs)
             routes = np.concatenate([runs.route, runs.route[_twice(kind, hashes, runs)]]) if kind.words else runs.route
@@ -187,7 +188,7 @@ def repeated_routes(docs: DataFrame, kind: Kind) -> np.ndarray:
 
 
 def segments(docs: DataFrame, kind: Kind, bits: np.ndarray) -> DataFrame:
-    """Segments on repeated routes of rows (doc, th, text): doc, th, start (in units of its text), route, body."""
+    """Segments on repeated routes of rows (doc, th, text): doc, th, start (in units of its text), route, body (its bytes)."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,14 +209,14 @@ def segments(docs: DataFrame, kind: Kind, bits: np.ndarray) -> DataFrame:
                 [
                     batch.column("doc").take(owner),
                     batch.column("th").take(owner),
-                    pa.array(runs.start - offs[runs.doc]),
+                    pa.array((runs.start - offs[runs.doc]).astype(np.int32)),
                     pa.array(runs.route.view(np.int64)),
                     binary_column(data, starts, lengths),
                 ],
                 ["doc", "th", "start", "route", "body"],
             )
 
-    return docs.mapInArrow(run, "doc long, th long, start long, route long, body binary")
+    return docs.mapInArrow(run, "doc long, th int, start int, route long, body binary")
 
 
 def verdicts(seg: np.ndarray, window: np.ndarray, group: np.ndarray, doc: np.ndarray, start: np.ndarray, by_start: bool) -> tuple[np.ndarray, ...]:
@@ -274,7 +275,7 @@ def _batch_of(table: pa.Table, found: tuple[np.ndarray, ...], by_start: bool) ->
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc, th, text): the id in order (null last), a hash of the text to tell rows of one id apart, the text (null: empty)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.hash(text).alias("th"), text.alias("text"))
 
 
 def repeated_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> DataFrame:
@@ -284,18 +285,26 @@ def repeated_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> D
     a smaller start of the same document.
     """
     bits = repeated_routes(docs, kind)
-    placed = segments(docs, kind, bits).withColumn("seg", F.xxhash64("body"))
-    first = F.min(F.struct("doc", "start")) if by_start else F.min(F.struct("doc", F.lit(0).cast("long").alias("start")))
-    folded = placed.groupBy("route", "seg", "body").agg(first.alias("first"), F.count("*").alias("times"))
-    folded = folded.select("route", "seg", "body", "first.doc", "first.start", "times")
+    tidy(docs.sparkSession)
+    placed = segments(docs, kind, bits)
+    # the route and 32 more bits name a segment where its bytes are not needed
+    name = F.hash("body").alias("seg")
+    if by_start:
+        folded = placed.groupBy("route", "body").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("times"))
+        folded = folded.select("route", "body", name, "first.doc", "first.start", "times")
+    else:
+        folded = placed.groupBy("route", "body").agg(F.min("doc").alias("doc"), F.count("*").alias("times"))
+        folded = folded.select("route", "body", name, "doc", F.lit(0).alias("start"), "times")
 
     def judge(table: pa.Table) -> Iterable[pa.RecordBatch]:
-        doc, start = table.column("doc").to_numpy(), table.column("start").to_numpy()
+        doc, start = table.column("doc").to_numpy(), table.column("start").to_numpy().astype(np.int64)
         found = find(table.column("body").combine_chunks(), doc, start)
         return _batch_of(table, found, by_start)
 
-    judged = by_group(folded, "route", judge, VERDICTS)
-    told = placed.drop("body").join(judged, ["route", "seg"])
+    judged = saved(by_group(folded, "route", judge, VERDICTS, group_bytes=kind.group_bytes))
+    tidy(docs.sparkSession)
+    placed = placed.select("doc", "th", "start", "route", name)
+    told = placed.join(judged, ["route", "seg"])
     runs = told.select("doc", "th", "start", F.inline(F.arrays_zip("froms", "tos", "docs", "bases")))
     earlier: Column = F.col("docs") < F.col("doc")
     if by_start:
@@ -320,14 +329,15 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 def with_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> DataFrame:
     """Every row of ``docs`` as (doc_id, text, spans); spans are null where nothing repeats."""
     spans = saved(repeated_spans(keyed(docs), kind, find, by_start))
+    tidy(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
-        F.xxhash64(text).alias("th"),
+        F.hash(text).alias("th"),
     )
     return rows.join(spans, ["doc", "th"], "left").select("doc_id", "text", "spans")
 
 
-__all__ = ["BYTES", "WORDS", "Kind", "discard", "merged", "repeated_spans", "verdicts", "with_spans"]
+__all__ = ["BYTES", "WORDS", "Kind", "merged", "repeated_spans", "verdicts", "with_spans"]
