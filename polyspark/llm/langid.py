@@ -85,10 +85,14 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Model:
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     target = np.searchsorted(languages, rows["lang"].to_numpy(dtype=str))
-    feature, owner = features(texts_of(pa.array(rows["text"].tolist(), pa.string())))
-    both, times = np.unique(owner * BUCKETS + feature, return_counts=True)
-    feature, owner = both % BUCKETS, both // BUCKETS
-    share = (times / np.bincount(owner, times, len(rows))[owner]).astype(np.float32)[:, None]
+    parts = []
+    for a in range(0, len(rows), 32):  # a few texts at a time, as each byte makes two features
+        feature, owner = features(texts_of(pa.array(rows["text"].iloc[a : a + 32].tolist(), pa.string())))
+        both, times = np.unique((owner + a) * BUCKETS + feature, return_counts=True)
+        size = np.bincount(owner, minlength=32)
+        parts.append(((both % BUCKETS).astype(np.int32), (both // BUCKETS).astype(np.int32), (times / size[both // BUCKETS - a]).astype(np.float32)))
+    feature, owner, share = (np.concatenate(x) for x in zip(*parts, strict=True))
+    share = share[:, None]
     bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -118,8 +122,9 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Model:
     model = Model(languages, (embedding @ weights).astype(np.float32), bias.astype(np.float64), 1.0, 0.0)
     held = np.flatnonzero(calibrate & (np.diff(bounds) > 0))
     if len(held):
-        texts = texts_of(pa.array(rows["text"].to_numpy()[held].tolist(), pa.string()))
-        logits = np.log(np.maximum(model.probabilities(texts), 1e-300))
+        kept = rows["text"].to_numpy()[held]
+        chunks = [texts_of(pa.array(kept[a : a + 32].tolist(), pa.string())) for a in range(0, len(held), 32)]
+        logits = np.log(np.maximum(np.concatenate([model.probabilities(x) for x in chunks]), 1e-300))
         heats = np.geomspace(0.05, 20, 60)
         loss = [-np.log(np.maximum(_softmax(logits / h)[np.arange(len(held)), target[held]], 1e-12)).mean() for h in heats]
         model.heat = float(heats[int(np.argmin(loss))])
