@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyspark.llm import automaton, covertree, decontam, langid, minhash, mixing, quality, suffixes, warc
+from polyspark.llm import automaton, covertree, decontam, html, langid, minhash, mixing, quality, suffixes, warc
 from polyspark.llm.common import held_out, read_table
 from polyspark.session import checkpoint_dir
 
@@ -40,6 +40,10 @@ from p
 """
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archive(read_table(spark, sf_dir, "pages"), path)
@@ -151,6 +155,7 @@ from e join n using (doc_id) left join c on c.s = e.s and n.n_shingles > 0 left
 
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
+    "op8_html": (op8_html, None),
     "op9_warc": (op9_warc, OP9_SQL),
     "op1_covertree": (op1_covertree, OP1_SQL),
     "op2_decontam": (op2_decontam, None),
