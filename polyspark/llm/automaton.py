@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +111,7 @@ def find(bodies: pa.Array, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarr
     return verdicts(np.concatenate(seg), np.concatenate(window), np.concatenate(group).astype(np.int64), doc, start, by_start=True)
 
 
-def repeated_words(docs: DataFrame) -> DataFrame:
+def repeated_words(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Every document with its repeated word spans: doc_id, text, spans (array of from, to in words; null if none; may overlap).
 
     Reads doc_id and text. A span covers windows of 20 words that also start earlier, in a document
@@ -119,11 +119,15 @@ def repeated_words(docs: DataFrame) -> DataFrame:
     is larger than any other; rows of one doc_id count as one document, so repeated rows stand at
     equal places and do not remove each other. Empty in, empty out.
     """
-    return with_spans(docs, WORDS, find, by_start=True)
+    return with_spans(docs, WORDS, find, by_start=True, carry=carry)
 
 
-def removed_words(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed, kept_sha256, kept (remaining words, joined by one space; the text itself if all remain)."""
+def removed_words(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed, kept_sha256, kept (remaining words, joined by one space; the text itself if all remain).
+
+    Columns named in ``carry`` follow as they are.
+    """
+    extra = [f"carried{i}" for i in range(len(carry))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,11 +146,13 @@ def removed_words(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
+                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *(batch.column(c) for c in extra)],
+                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept", *extra],
             )
 
-    return repeated_words(docs).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    kinds = "".join(f", {e} {docs.schema[c].dataType.simpleString()}" for e, c in zip(extra, carry, strict=True))
+    out = repeated_words(docs, carry).mapInArrow(run, f"doc_id long, n_words long, n_removed long, kept_sha256 string, kept string{kinds}")
+    return out.withColumnsRenamed(dict(zip(extra, carry, strict=True)))
 
 
 _SPACES = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))

@@ -96,7 +96,7 @@ def matrix(column: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, name, sig): the set's size, its 16-byte name and its 32-bit minima. Null text is empty."""
+    """Rows (doc_id, th, n_shingles, name, sig): a hash of the text, the set's size, its 16-byte name and its 32-bit minima. Null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
@@ -110,12 +110,13 @@ def signatures(docs: DataFrame) -> DataFrame:
                     sig[full, k] = np.minimum.reduceat(values * _MULTIPLIERS[k], at) >> U64(32)
             names = set_names(values, offs)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _rows16(names), fixed(sig.view(np.uint8))],
-                ["doc_id", "n_shingles", "name", "sig"],
+                [batch.column("doc_id"), batch.column("th"), pa.array(sizes, pa.int64()), _rows16(names), fixed(sig.view(np.uint8))],
+                ["doc_id", "th", "n_shingles", "name", "sig"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, name binary, sig binary"
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.hash(text).alias("th")).mapInArrow(
+        run, "doc_id long, th int, n_shingles long, name binary, sig binary"
     )
 
 
@@ -271,10 +272,12 @@ def _set_forest(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Near-duplicate component of every document: doc_id, n_shingles, component_id, kept.
+    """Near-duplicate component of every document: doc_id, n_shingles, component_id, kept, group, th.
 
     Reads doc_id and text. Documents whose sets have a Jaccard similarity of at least 0.85 are
-    linked; ``component_id`` is the smallest doc_id reachable over links and ``kept`` marks it. A
+    linked; ``component_id`` is the smallest doc_id reachable over links and ``kept`` marks it.
+    ``group`` names the component whatever its ids (null for an empty set), ``th`` is a hash of the
+    text that tells rows of one doc_id apart. A
     null or wordless text has an empty set, is linked with nothing and is kept. A null doc_id is
     larger than any other and kept only if its whole component has null ids. Repeated rows come
     out repeated, with equal values. Empty in, empty out.
@@ -301,9 +304,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = classes.select("name", "least").join(links, F.col("name") == F.col("node"), "left")
     placed = placed.select("name", "least", F.coalesce("root", "name").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("_component"))
-    named = saved(placed.join(smallest, "root").select("name", "_component"))
+    named = saved(placed.join(smallest, "root").select("name", F.hex("root").alias("group"), "_component"))
     for table in (classes, maybe, wanted):
         discard(table)
-    out = signed.select("doc_id", "n_shingles", "name").join(named, "name", "left")
+    out = signed.select("doc_id", "th", "n_shingles", "name").join(named, "name", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "group", "th")

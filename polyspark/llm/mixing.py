@@ -55,12 +55,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
     )
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = "") -> DataFrame:
+def mix_sources(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = "", carry: Sequence[str] = ()
+) -> DataFrame:
     """How many words of each document the mix takes.
 
     Input columns doc_id, text, source; others are ignored. One row per input row: doc_id, source,
     size, source_size, target, taken, before (words of the source that come earlier in the
-    random order). Each source's ``taken`` sums to its target rounded down: all its documents as
+    random order), and the columns named in ``carry``. Each source's ``taken`` sums to its target rounded down: all its documents as
     often as the target holds the whole source, then in hash order up to the exact budget, where
     the last document is taken in part.
 
@@ -71,21 +73,22 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats:
     """
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)).cast("binary"))
     source = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source").cast("string")))
-    rows = saved(
-        docs.select("doc_id", "source", source.alias("_source"), size_in_words().alias("size"), key.alias("_key")).withColumn(
-            "_bucket", F.substring("_key", 1, BUCKET_HEX)
-        )
-    )
+    carried = [F.col(c).alias(f"_carried{i}") for i, c in enumerate(carry)]
+    full = docs.select(
+        "doc_id", "source", source.alias("_source"), size_in_words().alias("size"), key.alias("_key"), *carried
+    ).withColumn("_bucket", F.substring("_key", 1, BUCKET_HEX))
+    rows = saved(full.drop(*[f"_carried{i}" for i in range(len(carried))]))
     buckets = rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("_size"))
     targets = source_targets(buckets.groupBy("_source").agg(F.sum("_size").alias("source_size")), weights, max_repeats)
     earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.select("_source", "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")).join(targets, "_source")
     inside = Window.partitionBy("_source", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["_source", "_bucket"])
+    placed = (full if carried else rows).withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["_source", "_bucket"])
     budget, whole = F.floor("target"), F.greatest("source_size", F.lit(1))
     before = F.col("_start") + F.col("_inside")
     part = F.greatest(F.lit(0), F.least(F.col("size"), budget % whole - before))
     taken = F.expr("cast(floor(target) as bigint) div greatest(source_size, 1L)") * F.col("size") + part
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), before.alias("before")
-    )
+        "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), before.alias("before"),
+        *[F.col(f"_carried{i}").alias(c) for i, c in enumerate(carry)],
+    )

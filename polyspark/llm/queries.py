@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from polyspark.llm import automaton, covertree, decontam, html, langid, minhash, mixing, quality, suffixes, warc
 from polyspark.llm.common import held_out, read_table
 from polyspark.session import checkpoint_dir
@@ -133,7 +135,7 @@ from d left join k using (doc_id)
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("group", "th")
 
 
 OP10_SQL = r"""
@@ -157,6 +159,7 @@ QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op8_html": (op8_html, None),
     "op9_warc": (op9_warc, OP9_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_covertree": (op1_covertree, OP1_SQL),
     "op2_decontam": (op2_decontam, None),
     "op3_quality": (op3_quality, None),

@@ -18,7 +18,7 @@ task before the shuffle, and the join that hands verdicts back can be split by S
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -326,8 +326,8 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def with_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> DataFrame:
-    """Every row of ``docs`` as (doc_id, text, spans); spans are null where nothing repeats."""
+def with_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool, carry: Sequence[str] = ()) -> DataFrame:
+    """Every row of ``docs`` as (doc_id, text, spans, carried0, ...); spans are null where nothing repeats."""
     spans = saved(repeated_spans(keyed(docs), kind, find, by_start))
     tidy(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -336,8 +336,9 @@ def with_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> DataF
         text.alias("text"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
         F.hash(text).alias("th"),
+        *[F.col(c).alias(f"carried{i}") for i, c in enumerate(carry)],
     )
-    return rows.join(spans, ["doc", "th"], "left").select("doc_id", "text", "spans")
+    return rows.join(spans, ["doc", "th"], "left").drop("doc", "th")
 
 
 __all__ = ["BYTES", "WORDS", "Kind", "merged", "repeated_spans", "verdicts", "with_spans"]
