@@ -18,7 +18,7 @@ task before the shuffle, and the join that hands verdicts back can be split by S
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +33,8 @@ from polyspark.session import saved
 FILTER_BITS = 1 << 27
 LONGEST = 64
 LAST_ID = (1 << 63) - 1
-VERDICTS = "route long, seg int, froms array<int>, tos array<int>, docs array<long>, bases array<long>"
+FOLD_BYTES = 16 << 20
+VERDICTS = "route long, seg int, from int, to int, first_doc long, base int"
 
 
 @dataclass(frozen=True)
@@ -187,36 +188,95 @@ def repeated_routes(docs: DataFrame, kind: Kind) -> np.ndarray:
     return out
 
 
-def segments(docs: DataFrame, kind: Kind, bits: np.ndarray) -> DataFrame:
-    """Segments on repeated routes of rows (doc, th, text): doc, th, start (in units of its text), route, body (its bytes)."""
+@dataclass
+class Found:
+    """Segments on repeated routes: rows (doc, th, start, route, name) and, for folding, where their bytes are."""
+
+    doc: np.ndarray
+    th: np.ndarray
+    start: np.ndarray
+    route: np.ndarray
+    name: np.ndarray
+    data: np.ndarray
+    begin: np.ndarray
+    length: np.ndarray
+
+
+def _scan(kind: Kind, bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[Found]:
+    """The segments of each slice of rows (doc, th, text) that stand on repeated routes; starts are in units of their text."""
+    buckets, segment = bits.shape[0], bits.shape[1] * 8
+    for batch, texts in slices(batches):
+        hashes, offs, cut = _units(kind, texts)
+        runs = runs_of(kind, hashes, offs)
+        bucket, prints = _place(runs.route, buckets)
+        at = prints % np.uint32(segment)
+        hit = np.flatnonzero((bits[bucket, at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1)
+        if len(hit):
+            runs = Runs(runs.doc[hit], runs.start[hit], runs.count[hit], runs.route[hit])
+            data, begin, length = cut(runs)
+            name = range_hashes(data, begin, begin + length)
+            doc, th = (batch.column(c).to_numpy()[runs.doc] for c in ("doc", "th"))
+            yield Found(doc, th, runs.start - offs[runs.doc], runs.route, name, data, begin, length)
+
+
+def _fold(found: list[Found], by_start: bool) -> pa.RecordBatch:
+    """One row per content: route, seg, body, first place, number of places."""
+    base = np.cumsum([0] + [len(f.data) for f in found])
+    doc, start, route, name, length = (np.concatenate([getattr(f, c) for f in found]) for c in ("doc", "start", "route", "name", "length"))
+    begin = np.concatenate([f.begin + b for f, b in zip(found, base, strict=False)])
+    if not by_start:
+        start = np.zeros_like(start)
+    key = mix(route) ^ name
+    order = np.lexsort((start, doc, key))
+    new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    times = np.diff(np.concatenate([new, [len(order)]]))
+    first = order[new]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(route[first].view(np.int64)),
+            pa.array(name[first].astype(np.uint32).view(np.int32)),
+            binary_column(np.concatenate([f.data for f in found]), begin[first], length[first]),
+            pa.array(doc[first]),
+            pa.array(start[first].astype(np.int32)),
+            pa.array(times.astype(np.int32)),
+        ],
+        ["route", "seg", "body", "doc", "start", "times"],
+    )
+
+
+def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: bool) -> DataFrame:
+    """Segments on repeated routes, one row per content and about ``FOLD_BYTES`` of a task's text: route, seg, body, doc, start, times.
+
+    Folding before the shuffle turns a passage that many documents share into one row of each
+    stretch of a task. The route and ``seg`` (32 more bits) name the content.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
-        buckets, segment = bits.shape[0], bits.shape[1] * 8
-        for batch, texts in slices(batches):
-            hashes, offs, cut = _units(kind, texts)
-            runs = runs_of(kind, hashes, offs)
-            bucket, prints = _place(runs.route, buckets)
-            at = prints % np.uint32(segment)
-            hit = np.flatnonzero((bits[bucket, at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1)
-            if not len(hit):
-                continue
-            runs = Runs(runs.doc[hit], runs.start[hit], runs.count[hit], runs.route[hit])
-            data, starts, lengths = cut(runs)
-            owner = pa.array(runs.doc)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc").take(owner),
-                    batch.column("th").take(owner),
-                    pa.array((runs.start - offs[runs.doc]).astype(np.int32)),
-                    pa.array(runs.route.view(np.int64)),
-                    binary_column(data, starts, lengths),
-                ],
-                ["doc", "th", "start", "route", "body"],
-            )
-
-    return docs.mapInArrow(run, "doc long, th int, start int, route long, body binary")
+        held: list[Found] = []
+        size = 0
+        for found in _scan(kind, sent.value, batches):
+            held.append(found)
+            size += len(found.data)
+            if size >= FOLD_BYTES:
+                yield _fold(held, by_start)
+                held, size = [], 0
+        if held:
+            yield _fold(held, by_start)
+
+    return docs.mapInArrow(run, "route long, seg int, body binary, doc long, start int, times int")
+
+
+def placed_segments(docs: DataFrame, kind: Kind, bits: np.ndarray) -> DataFrame:
+    """All places of the segments on repeated routes: doc, th, start, route, seg."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in _scan(kind, sent.value, batches):
+            columns = (f.doc, f.th, f.start.astype(np.int32), f.route.view(np.int64), f.name.astype(np.uint32).view(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "th", "start", "route", "seg"])
+
+    return docs.mapInArrow(run, "doc long, th int, start int, route long, seg int")
 
 
 def verdicts(seg: np.ndarray, window: np.ndarray, group: np.ndarray, doc: np.ndarray, start: np.ndarray, by_start: bool) -> tuple[np.ndarray, ...]:
@@ -242,33 +302,26 @@ def verdicts(seg: np.ndarray, window: np.ndarray, group: np.ndarray, doc: np.nda
     return seg[at], window[at], window[stop - 1] + 1, first_doc[at], base[at]
 
 
-Find = Callable[[list[bytes] | pa.Array, np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
+Find = Callable[[pa.Array, np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
 
 
-def _batch_of(table: pa.Table, found: tuple[np.ndarray, ...], by_start: bool) -> Iterator[pa.RecordBatch]:
-    """Verdict rows of the segments some place of which loses something."""
-    seg, froms, tos, docs, bases = found
-    own, start, times = (table.column(c).to_numpy() for c in ("doc", "start", "times"))
-    moved = (docs != own[seg]) | ((bases != start[seg]) if by_start else False)
-    useful = times > 1
-    useful[seg[moved]] = True
-    keep = useful[seg]
-    seg, froms, tos, docs, bases = (x[keep] for x in (seg, froms, tos, docs, bases))
-    if not len(seg):
-        return
-    cuts = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1], [True]])).astype(np.int32)
-    rows = pa.array(seg[cuts[:-1]])
-    listed = lambda values, kind: pa.ListArray.from_arrays(pa.array(cuts), pa.array(values, kind))
+def _judge(table: pa.Table, find: Find, by_start: bool) -> Iterator[pa.RecordBatch]:
+    """Verdicts on the segments of whole routes, for those some place of which loses something."""
+    route, seg, doc, start, times = (table.column(c).to_numpy() for c in ("route", "seg", "doc", "start", "times"))
+    order = np.lexsort((start, doc, seg, route))
+    route, seg = route[order], seg[order]
+    new = np.flatnonzero(np.concatenate([[True], (route[1:] != route[:-1]) | (seg[1:] != seg[:-1])]))
+    times = np.add.reduceat(times[order], new, dtype=np.int64)
+    first = order[new]
+    doc, start = doc[first], start[first].astype(np.int64)
+    which, froms, tos, docs, bases = find(table.column("body").combine_chunks().take(pa.array(first)), doc, start)
+    moved = (docs != doc[which]) | ((bases != start[which]) if by_start else False)
+    useful = (moved | (times[which] > 1)).nonzero()[0]
+    row = new[which[useful]]
+    values = (froms, tos, docs, bases)
     yield pa.RecordBatch.from_arrays(
-        [
-            table.column("route").combine_chunks().take(rows),
-            table.column("seg").combine_chunks().take(rows),
-            listed(froms, pa.int32()),
-            listed(tos, pa.int32()),
-            listed(docs, pa.int64()),
-            listed(bases, pa.int64()),
-        ],
-        ["route", "seg", "froms", "tos", "docs", "bases"],
+        [pa.array(route[row]), pa.array(seg[row]), *(pa.array(v[useful].astype(t)) for v, t in zip(values, (np.int32, np.int32, np.int64, np.int32), strict=True))],
+        ["route", "seg", "from", "to", "first_doc", "base"],
     )
 
 
@@ -286,32 +339,15 @@ def repeated_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> D
     """
     bits = repeated_routes(docs, kind)
     tidy(docs.sparkSession)
-    placed = segments(docs, kind, bits)
-    # the route and 32 more bits name a segment where its bytes are not needed
-    name = F.hash("body").alias("seg")
-    if by_start:
-        folded = placed.groupBy("route", "body").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("times"))
-        folded = folded.select("route", "body", name, "first.doc", "first.start", "times")
-    else:
-        folded = placed.groupBy("route", "body").agg(F.min("doc").alias("doc"), F.count("*").alias("times"))
-        folded = folded.select("route", "body", name, "doc", F.lit(0).alias("start"), "times")
-
-    def judge(table: pa.Table) -> Iterable[pa.RecordBatch]:
-        doc, start = table.column("doc").to_numpy(), table.column("start").to_numpy().astype(np.int64)
-        found = find(table.column("body").combine_chunks(), doc, start)
-        return _batch_of(table, found, by_start)
-
-    judged = saved(by_group(folded, "route", judge, VERDICTS, group_bytes=kind.group_bytes))
+    folded = folded_segments(docs, kind, bits, by_start)
+    judged = saved(by_group(folded, "route", lambda table: _judge(table, find, by_start), VERDICTS, group_bytes=kind.group_bytes))
     tidy(docs.sparkSession)
-    placed = placed.select("doc", "th", "start", "route", name)
-    told = placed.join(judged, ["route", "seg"])
-    runs = told.select("doc", "th", "start", F.inline(F.arrays_zip("froms", "tos", "docs", "bases")))
-    earlier: Column = F.col("docs") < F.col("doc")
+    told = placed_segments(docs, kind, bits).join(judged, ["route", "seg"])
+    earlier: Column = F.col("first_doc") < F.col("doc")
     if by_start:
-        earlier = earlier | ((F.col("docs") == F.col("doc")) & (F.col("bases") < F.col("start")))
-    spans = runs.where(earlier).select(
-        "doc", "th", F.struct((F.col("start") + F.col("froms")).alias("a"), (F.col("start") + F.col("tos") + (kind.width - 1)).alias("b")).alias("span")
-    )
+        earlier = earlier | ((F.col("first_doc") == F.col("doc")) & (F.col("base") < F.col("start")))
+    a, b = F.col("start") + F.col("from"), F.col("start") + F.col("to") + (kind.width - 1)
+    spans = told.where(earlier).select("doc", "th", F.struct(a.alias("a"), b.alias("b")).alias("span"))
     return spans.groupBy("doc", "th").agg(F.collect_list("span").alias("spans"))
 
 
