@@ -34,6 +34,7 @@ FILTER_BITS = 1 << 27
 LONGEST = 64
 LAST_ID = (1 << 63) - 1
 FOLD_BYTES = 16 << 20
+BATCH_BYTES = 1 << 20
 VERDICTS = "route long, seg int, from int, to int, first_doc long, base int"
 
 
@@ -219,29 +220,35 @@ def _scan(kind: Kind, bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> It
             yield Found(doc, th, runs.start - offs[runs.doc], runs.route, name, data, begin, length)
 
 
-def _fold(found: list[Found], by_start: bool) -> pa.RecordBatch:
-    """One row per content: route, seg, body, first place, number of places."""
+def _fold(found: list[Found], by_start: bool) -> Iterator[pa.RecordBatch]:
+    """One row per content: route, seg, body, first place, number of places; in batches of about ``BATCH_BYTES`` of bodies."""
     base = np.cumsum([0] + [len(f.data) for f in found])
     doc, start, route, name, length = (np.concatenate([getattr(f, c) for f in found]) for c in ("doc", "start", "route", "name", "length"))
     begin = np.concatenate([f.begin + b for f, b in zip(found, base, strict=False)])
+    data = np.concatenate([f.data for f in found])
+    found.clear()
     if not by_start:
         start = np.zeros_like(start)
     key = mix(route) ^ name
     order = np.lexsort((start, doc, key))
     new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-    times = np.diff(np.concatenate([new, [len(order)]]))
+    times = np.diff(np.concatenate([new, [len(order)]])).astype(np.int32)
     first = order[new]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(route[first].view(np.int64)),
-            pa.array(name[first].astype(np.uint32).view(np.int32)),
-            binary_column(np.concatenate([f.data for f in found]), begin[first], length[first]),
-            pa.array(doc[first]),
-            pa.array(start[first].astype(np.int32)),
-            pa.array(times.astype(np.int32)),
-        ],
-        ["route", "seg", "body", "doc", "start", "times"],
-    )
+    block = np.cumsum(length[first]) // BATCH_BYTES
+    cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])).tolist()
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        at = first[i:j]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(route[at].view(np.int64)),
+                pa.array(name[at].astype(np.uint32).view(np.int32)),
+                binary_column(data, begin[at], length[at]),
+                pa.array(doc[at]),
+                pa.array(start[at].astype(np.int32)),
+                pa.array(times[i:j]),
+            ],
+            ["route", "seg", "body", "doc", "start", "times"],
+        )
 
 
 def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: bool) -> DataFrame:
@@ -259,10 +266,10 @@ def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: boo
             held.append(found)
             size += len(found.data)
             if size >= FOLD_BYTES:
-                yield _fold(held, by_start)
-                held, size = [], 0
+                yield from _fold(held, by_start)
+                size = 0
         if held:
-            yield _fold(held, by_start)
+            yield from _fold(held, by_start)
 
     return docs.mapInArrow(run, "route long, seg int, body binary, doc long, start int, times int")
 
