@@ -7,9 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-SALTS = 32
-
+from polyspark.session import saved
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null equals null; keeps one copy of the keys."""
@@ -27,28 +25,26 @@ def skew_safe_join(
     weight: str,
     spread: list[Column],
     how: str = "inner",
-    hot_keys: int = HOT_KEYS,
-    salts: int = SALTS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Joins ``facts`` to ``dim`` (one row per key) when some keys are very common.
 
-    ``weight`` is a column of ``dim`` saying how common its key is. The ``hot_keys``
-    keys of greatest weight are spread over ``salts`` partitions: fact rows by a
-    hash of ``spread``, dim rows by repetition. Any other key holds less than
-    1 / hot_keys of the weight. The broadcast list has at most ``hot_keys`` rows.
+    ``weight`` is a column of ``dim`` saying how common its key is. A key with more than one
+    partition's share of the total weight is hot; it is spread over twice as many salts as it
+    has shares, fact rows by a hash of ``spread``, dim rows by repetition. So no partition gets
+    much more than its share, and fewer keys than ``partitions`` (default: the shuffle
+    partitions) are hot, which bounds the broadcast list. The list is saved, as both sides use it.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins")
-    hot = dim.orderBy(F.col(weight).desc(), *keys).limit(hot_keys).select(*keys).withColumn("_hot", F.lit(True))
-    hot = F.broadcast(hot)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    left = facts.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
-    )
+    spark = facts.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = F.col(weight) * parts / dim.agg(F.sum(weight).alias("_total")).scalar()
+    hot = dim.where(share > 1).groupBy(*keys).agg(F.ceil(2 * F.max(share)).cast("int").alias("_salts"))
+    hot = F.broadcast(saved(hot))
+    salt = F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int")
+    left = facts.join(hot, keys, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
     right = dim.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    return left.drop("_hot").join(right.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+    return left.drop("_salts").join(right.drop("_salts"), [*keys, "_salt"], how).drop("_salt")

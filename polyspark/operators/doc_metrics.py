@@ -23,7 +23,9 @@ def pick_choice(scored: DataFrame, keys: list[str]) -> DataFrame:
     characters of the choice. A target that is no choice is an error.
     """
     first = -F.col("req_idx")
-    by_length = F.col("ll") / F.length("choice")
+    # a division by no characters is infinite, or NaN for zero, as in floating-point arithmetic
+    endless = F.when(F.col("ll") == 0, F.lit(float("nan"))).otherwise(F.signum("ll") * F.lit(float("inf")))
+    by_length = F.when(F.length("choice") == 0, endless).otherwise(F.try_divide("ll", F.length("choice")))
     is_target = F.col("choice") == F.col("target")
     one = scored.groupBy(*keys).agg(
         F.max_by("choice", F.struct(F.col("ll"), first)).alias("pred"),

@@ -301,9 +301,11 @@ ROLLING = "loglikelihood_rolling"
 
 
 def choice_requests(df: DataFrame, separator: str = " ") -> DataFrame:
-    """One log-likelihood request per answer choice."""
+    """One log-likelihood request per answer choice. A document without choices is an error, as it would vanish."""
     others = [c for c in df.columns if c != "choices"]
-    return df.select(*others, F.posexplode("choices").alias("req_idx", "choice")).withColumns(
+    missing = F.raise_error(F.lit("a document has no answer choices")).cast("array<string>")
+    choices = F.when(F.size("choices") > 0, F.col("choices")).otherwise(missing)
+    return df.select(*others, F.posexplode(choices).alias("req_idx", "choice")).withColumns(
         {"req_type": F.lit(LOGLIKELIHOOD), "cont": F.concat(F.lit(separator), F.col("choice"))}
     )
 

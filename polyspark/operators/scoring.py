@@ -163,10 +163,12 @@ def cached_scores(
     schema = "request_key string, ll double, is_greedy boolean, generated string"
     misses = unique
     if path_exists(spark, cache_path):
-        known = spark.read.schema(schema).parquet(cache_path)
-        misses = unique.join(known, "request_key", "left_anti")
+        misses = unique.join(spark.read.schema(schema).parquet(cache_path), "request_key", "left_anti")
     score(misses).select("request_key", "ll", "is_greedy", "generated").write.mode("append").parquet(cache_path)
-    scored = unique.select("request_key", "origins").join(spark.read.schema(schema).parquet(cache_path), "request_key")
+    # a run that was repeated may have written a key twice: one row per key counts
+    known = spark.read.schema(schema).parquet(cache_path).groupBy("request_key")
+    known = known.agg(F.min(F.struct("ll", "is_greedy", "generated")).alias("_r")).select("request_key", "_r.*")
+    scored = unique.select("request_key", "origins").join(known, "request_key")
     return scatter_back(requests, scored, row_id)
 
 
@@ -188,14 +190,19 @@ def score_dummy(requests: DataFrame) -> DataFrame:
     )
 
 
+ARGS_TYPE = "struct<stop_sequences: array<string>, max_generation_length: int, num_fewshot: int>"
 SCORE_SCHEMA = "request_key string, ll double, is_greedy boolean, generated string"
 
 
 def score_with(requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
-    """Runs a model over Arrow batches of (request_key, req_type, ctx, cont).
+    """Runs a model over Arrow batches of (request_key, req_type, ctx, cont, args).
 
     ``fn`` returns a frame with ll, is_greedy and generated, in the order of its input.
+    ``cont`` is null for generations; ``args`` (stop_sequences, max_generation_length,
+    num_fewshot) is null for other requests.
     """
+    absent = {"cont": F.lit(None).cast("string"), "args": F.lit(None).cast(ARGS_TYPE)}
+    requests = requests.withColumns({c: v for c, v in absent.items() if c not in requests.columns})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -209,7 +216,7 @@ def score_with(requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame])
                 }
             )
 
-    return requests.select("request_key", "req_type", "ctx", "cont").mapInPandas(run, SCORE_SCHEMA)
+    return requests.select("request_key", "req_type", "ctx", "cont", "args").mapInPandas(run, SCORE_SCHEMA)
 
 
 def _bigrams(docs: DataFrame, keys: list[str], tokens: str) -> DataFrame:

@@ -13,8 +13,9 @@ from polyspark.functions.joins import skew_safe_join
 from polyspark.functions.text import words
 
 WORD_START = "▁"
-# Largest vocabulary that is sent to every task, in pieces; beyond it, words are joined.
+# Largest vocabulary that is sent to every task, in pieces and in bytes of pieces; beyond it, words are joined.
 BROADCAST_PIECES = 1_000_000
+BROADCAST_BYTES = 32 << 20
 CACHED_WORDS = 200_000
 
 
@@ -94,8 +95,12 @@ def _tokenize_by_table(df: DataFrame, rows: pd.DataFrame, keys: list[str], text:
 def _tokenize_by_join(
     df: DataFrame, vocab: DataFrame, keys: list[str], text: str, mode: str, unk: int, max_length: int
 ) -> DataFrame:
-    """For a vocabulary of any size: each distinct word is split once, knowing only the pieces it may use."""
-    placed = df.select(*keys, F.posexplode_outer(words(F.col(text))).alias("_pos", "_word"))
+    """For a vocabulary of any size: each distinct word is split once, knowing only the pieces it may use.
+
+    Ids are made per distinct text, so ``keys`` need not tell rows apart.
+    """
+    texts = df.where(F.col(text).isNotNull()).select(F.md5(F.col(text)).alias("_text"), F.col(text).alias("_body")).dropDuplicates(["_text"])
+    placed = texts.select("_text", F.posexplode_outer(words(F.col("_body"))).alias("_pos", "_word"))
     distinct = placed.where("_word is not null").groupBy("_word").agg(F.count(F.lit(1)).alias("_n"))
     marked = F.concat(F.lit(WORD_START), F.col("_word"))
     starts = distinct.select("_word", marked.alias("_m"), F.explode(F.sequence(F.lit(1), F.length(marked))).alias("_i"))
@@ -129,17 +134,18 @@ def _tokenize_by_join(
         return pd.Series(out)
 
     split_words = distinct.join(usable, "_word", "left").select("_word", "_n", split("_word", "_known").alias("_ids"))
-    joined = skew_safe_join(placed, split_words, ["_word"], "_n", [*[F.col(k) for k in keys], F.col("_pos")], "left")
-    return (
-        joined.groupBy(*keys)
+    joined = skew_safe_join(placed, split_words, ["_word"], "_n", [F.col("_text"), F.col("_pos")], "left")
+    encoded = (
+        joined.groupBy("_text")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_ids"))).alias("_parts"))
         .select(
-            *keys,
+            "_text",
             F.flatten(
                 F.transform("_parts", lambda p: F.coalesce(p["_ids"], F.array().cast("array<int>")))
             ).alias("input_ids"),
         )
     )
+    return df.select(*keys, F.md5(F.col(text)).alias("_text")).join(encoded, "_text", "left").select(*keys, "input_ids")
 
 
 def tokenize(
@@ -150,25 +156,25 @@ def tokenize(
     mode: str = "bpe",
     special: tuple[int | None, int | None] | None = None,
     unk: int = 0,
-    max_length: int = 16,
     broadcast_pieces: int = BROADCAST_PIECES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``keys`` and ``input_ids``; every other column is dropped.
 
     ``bpe`` joins pieces by score, ``word`` looks whole words up. ``special`` is the
-    ids put before and after each text. A vocabulary of at most ``broadcast_pieces``
-    is sent to the tasks, which needs no shuffle; for a larger one, distinct words
-    (``max_length`` bounds its pieces) are split once and joined back, and ``keys``
-    must then tell the rows apart.
+    ids put before and after each text. A vocabulary of at most ``broadcast_pieces`` and
+    ``broadcast_bytes`` is sent to the tasks, which needs no shuffle; for a larger one,
+    distinct words are split once and joined back. Both ways give the same ids.
     """
     if mode not in ("bpe", "word"):
         raise ValueError(f"unknown mode {mode!r}")
-    # one row more than may be sent shows that the vocabulary is too large
-    rows = vocab.select("piece", "id", "score").limit(broadcast_pieces + 1).toPandas() if broadcast_pieces else None
-    if rows is not None and len(rows) <= broadcast_pieces:
-        out = _tokenize_by_table(df, rows, keys, text, mode, unk)
+    size = vocab.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("piece")).alias("bytes"), F.max(F.length("piece")).alias("longest")
+    ).first()
+    if size["n"] <= broadcast_pieces and (size["bytes"] or 0) <= broadcast_bytes:
+        out = _tokenize_by_table(df, vocab.select("piece", "id", "score").toPandas(), keys, text, mode, unk)
     else:
-        out = _tokenize_by_join(df, vocab, keys, text, mode, unk, max_length)
+        out = _tokenize_by_join(df, vocab, keys, text, mode, unk, size["longest"] or 1)
     if special is None:
         return out
     ends = [F.array(F.lit(i)) if i is not None else F.array().cast("array<int>") for i in special]

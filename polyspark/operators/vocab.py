@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from polyspark.functions.ranks import position_by, running_total
 from polyspark.functions.text import WHITE_SPACE_RUN, characters, words
 from polyspark.operators.tokens import tokenize
-from polyspark.session import saved
+from polyspark.session import discard, saved
 
 # The word-start mark, piece types and control pieces of the vocabulary format.
 WORD_START = "▁"
@@ -56,7 +56,7 @@ def char_inventory(counts: DataFrame, coverage: float = DEFAULT_COVERAGE) -> Dat
     )
 
 
-def word_vocabulary(counts: DataFrame, min_count: int = 2, first_id: int = 0) -> DataFrame:
+def word_vocabulary(counts: DataFrame, min_count: int = 1, first_id: int = 0) -> DataFrame:
     """A vocabulary of whole words seen at least ``min_count`` times, most common first."""
     kept = counts.where(F.col("n") >= min_count).withColumns(
         {"_rarer": -F.col("n"), "_prefix": F.substring("word", 1, 3)}
@@ -208,8 +208,13 @@ def learn_bpe(
         known |= {left + right for left, right in chosen}
         for (left, right), (_, _, n) in zip(chosen, ranked):
             merges.append((len(merges), left, right, left + right, n, -float(len(merges))))
+        before = pairs, state
         pairs = saved(changed_pair_counts(pairs, state, chosen, max_length))
         state = saved(merge_pairs(state, chosen))
+        for table in before:  # superseded, so that disk use does not grow with the rounds
+            discard(table)
+    for table in (pairs, state):
+        discard(table)
     return spark.createDataFrame(
         merges, "rank bigint, left string, right string, piece string, n bigint, score double"
     )

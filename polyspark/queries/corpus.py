@@ -57,7 +57,7 @@ from (select doc_id, regexp_extract_all(text, '(?s).') as c from documents)"""
 
 
 def word_vocabulary(spark, sf):
-    """Every word that occurs at least twice, by rank, after one unknown piece."""
+    """Every word, by rank, after one unknown piece."""
     return V.word_vocabulary(saved(V.word_counts(table(spark, sf, "documents"))), first_id=1)
 
 
@@ -86,7 +86,7 @@ VOCABULARY_SQL = f"""
 with w as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i
            from (select doc_id, {words_sql("text")} as w from documents)),
 v as (select word, row_number() over (order by n desc, word) as id
-      from (select word, count(*) as n from w group by word) where n > 1)
+      from (select word, count(*) as n from w group by word))
 select doc_id, (count(*) + 1)::BIGINT as n,
        md5('1,' || string_agg(coalesce(id, 0)::VARCHAR, ',' order by i)) as ids_md5
 from w left join v using (word) group by doc_id"""

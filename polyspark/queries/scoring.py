@@ -329,11 +329,19 @@ select conv_id, turn, case when turn % 4 = 1 then reference
 
 def collect_doc_results(spark, sf):
     scored = S.score_dummy(_zero_shot_requests(spark, sf))
-    results = S.collect_doc_results(scored, ["doc_id"], ["choice"])
-    return results.select("doc_id", F.array_join(F.col("results").getField("choice"), ",").alias("choices"))
+    results = S.collect_doc_results(scored, ["doc_id"], ["choice", "ll"])
+    ordered = F.aggregate("results", F.lit(0.0), lambda s, r: s * 0.5 + r["ll"])  # tells orders apart
+    return results.select(
+        "doc_id", F.array_join(F.col("results").getField("choice"), ",").alias("choices"), F.round(ordered, 9).alias("ordered")
+    )
 
 
-COLLECT_SQL = "select doc_id, 'en,de,fr,es' as choices from documents"
+COLLECT_SQL = Q.with_sql(
+    Q.RENDERED_SQL, "\nctx as (select *, text_prompt as ctx from r)", Q.CHOICES_SQL, Q.requests_sql("ctx"), Q.SCORED_SQL
+) + """select doc_id, string_agg(choice, ',' order by req_idx) as choices,
+  round(((max(ll) filter (req_idx = 0) * 0.5 + max(ll) filter (req_idx = 1)) * 0.5 + max(ll) filter (req_idx = 2)) * 0.5
+        + max(ll) filter (req_idx = 3), 9) as ordered
+from scored group by doc_id"""
 
 QUERIES = {
     "rolling_windows": (rolling_windows, Q.with_sql(WINDOWS_SQL) + SHOWN_SQL + "win"),

@@ -53,9 +53,9 @@ def vocabularies(spark, sf):
 VOCABULARIES_SQL = f"""
 w as (select lang, '▁' || word as word from (select lang, unnest({words_sql("text")}) as word from documents)),
 old as (select row_number() over (order by n desc, word) - 1 as id, word as piece
-        from (select word, count(*) as n from w where lang = 'en' group by word) where n > 1),
+        from (select word, count(*) as n from w where lang = 'en' group by word)),
 new as (select row_number() over (order by n desc, word) - 1 as id, word as piece
-        from (select word, count(*) as n from w group by word) where n > 1),
+        from (select word, count(*) as n from w group by word)),
 merged as (
   select id, piece, -id::DOUBLE as score from old
   union all
