@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True

@@ -33,7 +33,6 @@ from polyspark.session import saved
 FILTER_BITS = 1 << 27
 LONGEST = 64
 LAST_ID = (1 << 63) - 1
-FOLD_BYTES = 16 << 20
 BATCH_BYTES = 1 << 20
 VERDICTS = "route long, seg int, from int, to int, first_doc long, base int"
 
@@ -46,10 +45,11 @@ class Kind:
     gram: int
     words: bool
     group_bytes: int  # of segments searched at once
+    fold_bytes: int  # of a task's text whose segments are folded at once
 
 
-BYTES = Kind(50, 12, words=False, group_bytes=3 << 20)
-WORDS = Kind(20, 4, words=True, group_bytes=3 << 19)
+BYTES = Kind(50, 12, words=False, group_bytes=3 << 20, fold_bytes=16 << 20)
+WORDS = Kind(20, 4, words=True, group_bytes=3 << 19, fold_bytes=8 << 20)
 
 
 @dataclass
@@ -252,7 +252,7 @@ def _fold(found: list[Found], by_start: bool) -> Iterator[pa.RecordBatch]:
 
 
 def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: bool) -> DataFrame:
-    """Segments on repeated routes, one row per content and about ``FOLD_BYTES`` of a task's text: route, seg, body, doc, start, times.
+    """Segments on repeated routes, one row per content and about ``fold_bytes`` of a task's text: route, seg, body, doc, start, times.
 
     Folding before the shuffle turns a passage that many documents share into one row of each
     stretch of a task. The route and ``seg`` (32 more bits) name the content.
@@ -265,7 +265,7 @@ def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: boo
         for found in _scan(kind, sent.value, batches):
             held.append(found)
             size += len(found.data)
-            if size >= FOLD_BYTES:
+            if size >= kind.fold_bytes:
                 yield from _fold(held, by_start)
                 size = 0
         if held:
