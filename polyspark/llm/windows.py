@@ -48,7 +48,7 @@ class Kind:
     fold_bytes: int  # of a task's text whose segments are folded at once
 
 
-BYTES = Kind(50, 12, words=False, group_bytes=3 << 20, fold_bytes=16 << 20)
+BYTES = Kind(50, 24, words=False, group_bytes=3 << 20, fold_bytes=16 << 20)
 WORDS = Kind(20, 4, words=True, group_bytes=3 << 19, fold_bytes=8 << 20)
 
 
@@ -63,14 +63,15 @@ class Runs:
 
 
 def _byte_grams(data: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k bytes (8 to 16) from each position on."""
+    """Hash of the k bytes (8 or more) from each position on, taken 8 at a time."""
     n = len(data) - k + 1
     if n <= 0:
         return np.zeros(0, U64)
     data = np.ascontiguousarray(data)
-    head = np.ndarray(n, "<u8", data, 0, (1,))
-    tail = np.ndarray(n, "<u8", data, k - 8, (1,))
-    return mix(head * U64(0x9FB21C651E98DF25) + mix(tail + U64(1)))
+    out = np.zeros(n, U64)
+    for skip in (*range(0, k - 8, 8), k - 8):
+        out = mix(np.ndarray(n, "<u8", data, skip, (1,)) + out * U64(0x9FB21C651E98DF25) + U64(1))
+    return out
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
