@@ -49,7 +49,7 @@ class Kind:
 
 
 BYTES = Kind(50, 24, words=False, group_bytes=3 << 20, fold_bytes=16 << 20)
-WORDS = Kind(20, 4, words=True, group_bytes=3 << 19, fold_bytes=8 << 20)
+WORDS = Kind(20, 6, words=True, group_bytes=3 << 19, fold_bytes=8 << 20)
 
 
 @dataclass
