@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # rows differ in length: a batch of long texts ends by its bytes
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
