@@ -8,15 +8,27 @@ text, so repeated ids do not stand for each other.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polyspark.llm import automaton, decontam, langid, minhash, mixing
 from polyspark.llm.common import join_small, read_table
-from polyspark.session import saved
+from polyspark.session import saved, tune
 
 LAST_ID = (1 << 63) - 1
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _tuned(stage: Stage) -> Stage:
+    """A stage that applies the library's session settings first (batch sizes among them), whoever calls it."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(tune(spark), docs, sf_dir)
+
+    return run
 
 
 def _key() -> Column:
@@ -30,6 +42,7 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return join_small(docs.withColumn("_key", _key()), gone, "_key", "left_anti").drop("_key")
 
 
+@_tuned
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is not told with confidence: no letters, or a score below the calibrated threshold."""
     rows = docs.select(_key().alias("doc_id"), "text")
@@ -37,6 +50,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, saved(judged.where("rejected").select(F.col("doc_id").alias("_key")).distinct()))
 
 
+@_tuned
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each group of near-duplicates; a repeated row stays once.
 
@@ -63,6 +77,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+@_tuned
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated passages of 20 words and more out of the texts; every document stays, if with an empty text.
 
@@ -76,6 +91,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return out.withColumns(changed).select(*docs.columns)
 
 
+@_tuned
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item or a paraphrase of one."""
     rows = docs.select(_key().alias("doc_id"), "text")
@@ -83,6 +99,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without(docs, saved(found.select(F.col("doc_id").alias("_key")).distinct()))
 
 
+@_tuned
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which the mix takes words: their columns, size, source_size, target, taken."""
     others = [c for c in docs.columns if c not in ("doc_id", "source")]
@@ -90,7 +107,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.where("taken > 0").select(*docs.columns, "size", "source_size", "target", "taken")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("near_dedup", near_dedup),
     ("substring_dedup", substring_dedup),
