@@ -20,9 +20,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def crc_rest(doc_id: str, modulus: int) -> Column:
+    """crc32 of the id as decimal text, modulo ``modulus``; a null id counts as ''."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows no label may be learned from: crc32 of the id as text, modulo 5, is 0; a null id counts as ''."""
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    return crc_rest(doc_id, 5) == 0
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

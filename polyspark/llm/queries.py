@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from polyspark.llm import automaton, covertree, decontam, html, langid, minhash, mixing, quality, suffixes, warc
-from polyspark.llm.common import held_out, read_table
+from polyspark.llm import automaton, covertree, decontam, html, langid, minhash, mixing, quality, suffixes, toxicity, warc
+from polyspark.llm.common import crc_rest, held_out, read_table
 from polyspark.session import checkpoint_dir
 
 
@@ -155,6 +155,15 @@ select e.doc_id, n.n_shingles, coalesce(m.component_id, e.doc_id) component_id,
 from e join n using (doc_id) left join c on c.s = e.s and n.n_shingles > 0 left join m on m.rep = c.rep
 """
 
+
+
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+    held = crc_rest("doc_id", 4) == 2
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op8_html": (op8_html, None),
@@ -167,4 +176,5 @@ QUERIES = {
     "op5_automaton": (op5_automaton, OP5_SQL),
     "op6_langid": (op6_langid, None),
     "op10_minhash": (op10_minhash, OP10_SQL),
+    "op11_toxicity": (op11_toxicity, None),
 }
