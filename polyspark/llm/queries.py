@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from polyspark.llm import automaton, covertree, decontam, html, langid, minhash, mixing, quality, suffixes, toxicity, warc
+from polyspark.llm import automaton, covertree, decontam, html, langid, merkle, merkle_sql, minhash, mixing, quality, suffixes, toxicity, warc
 from polyspark.llm.common import crc_rest, held_out, read_table
 from polyspark.session import checkpoint_dir
 
@@ -164,6 +164,11 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    divides = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(read_table(spark, sf_dir, "documents"), tampered=divides)
+
+
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op8_html": (op8_html, None),
@@ -177,4 +182,5 @@ QUERIES = {
     "op6_langid": (op6_langid, None),
     "op10_minhash": (op10_minhash, OP10_SQL),
     "op11_toxicity": (op11_toxicity, None),
+    "op12_merkle": (op12_merkle, merkle_sql.SQL),
 }
