@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from polyspark.llm import automaton, covertree, decontam, html, langid, merkle, merkle_sql, minhash, mixing, quality, suffixes, toxicity, warc
+from polyspark.llm import automaton, covertree, decontam, html, langid, merkle, merkle_sql, minhash, mixing, negatives, quality, suffixes, toxicity, warc
 from polyspark.llm.common import crc_rest, held_out, read_table
 from polyspark.session import checkpoint_dir
 
@@ -169,6 +169,26 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"), tampered=divides)
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"), label=moved, anchors=F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = """
+with v as (
+  select vec_id, row_number() over () r, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+         list_transform(embedding, lambda x: floor(256 * x::double)) q
+  from embeddings
+  where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (select a.r ar, a.vec_id anchor_id, b.r, b.vec_id, a.l = b.l same, list_dot_product(a.q, b.q)::bigint s
+      from v a join v b on a.vec_id % 50 = 0 and a.r <> b.r and len(a.q) = len(b.q)),
+p as (select * from s where same qualify row_number() over (partition by ar order by s desc, vec_id, r) <= 5),
+n as (select p.anchor_id, p.vec_id positive_id, row_number() over (partition by p.ar, p.r order by n.s desc, n.vec_id, n.r)::int as rank,
+             n.vec_id negative_id, p.s positive_score, n.s negative_score
+      from p join s n on n.ar = p.ar and not n.same and 50 * p.s <= 100 * n.s and 100 * n.s <= 95 * p.s)
+select * from n where rank <= 3
+"""
+
 QUERIES = {
     "op7_mixing": (op7_mixing, OP7_SQL),
     "op8_html": (op8_html, None),
@@ -183,4 +203,5 @@ QUERIES = {
     "op10_minhash": (op10_minhash, OP10_SQL),
     "op11_toxicity": (op11_toxicity, None),
     "op12_merkle": (op12_merkle, merkle_sql.SQL),
+    "op13_negatives": (op13_negatives, OP13_SQL),
 }
