@@ -320,7 +320,7 @@ def stem_strengths(counts: pd.DataFrame, toxic: float, clean: float) -> dict[str
     odds = np.log((use["toxic"] + 0.5) / (toxic + 1)) - np.log((use["clean"] + 0.5) / (clean + 1))
     use = use.assign(odds=odds).sort_values(["toxic", "stem"], ascending=[False, True]).head(4 * MAX_STEMS)
     kept: dict[str, tuple[int, float]] = {}
-    by_length = use.sort_values(["stem"], key=lambda s: s.str.len(), kind="stable")
+    by_length = use.sort_values("stem", key=lambda s: s.map(len), kind="stable")
     for stem, n_toxic, strength in zip(by_length["stem"], by_length["toxic"], by_length["odds"], strict=True):
         inside = [stem[:k] for k in range(STEM.start, len(stem)) if stem[:k] in kept]
         if inside and 0.9 * kept[inside[-1]][0] * kept[inside[-1]][1] <= n_toxic * strength:
