@@ -7,6 +7,8 @@ The parser is a small helper of one pass per page; Spark deals the pages out.
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -15,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 200  # deeper elements hang on the last level, text and order unchanged
 WIDEST = 60  # columns with longer cells are not padded
 RULE = "-" * 8
+MOST_COLUMNS, MOST_ROWS = 1000, 65534  # spans, as the HTML standard bounds them
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -46,19 +48,25 @@ LIST_MARKS = ("-", "*", "+")
 
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
 _ATTRIBUTE = re.compile(r"""\s*/?\s*([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]*)))?|\s*["'=/]""")
-_RULES = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_GONE = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-_SELECTOR = re.compile(r"([a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
+_STYLE = re.compile(r"(?:^|[;\s])(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
+_COMPOUND = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)\Z")
+_SCREEN = frozenset(["", "all", "screen", "only screen", "only all", "not print", "not speech"])
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 @dataclass(slots=True)
 class Element:
-    """An element with its attributes; children are elements and strings."""
+    """An element with its attributes; children are elements and strings.
+
+    ``gone`` elements are left out with all they hold; where ``shown`` is false, the element's own
+    text is left out, but not that of elements inside that are shown again.
+    """
 
     tag: str
     attributes: dict[str, str] = field(default_factory=dict)
     children: list = field(default_factory=list)
+    gone: bool = False
+    shown: bool = True
 
 
 def _attributes(html: str, at: int) -> tuple[dict[str, str], int]:
@@ -80,18 +88,23 @@ def parse(html: str) -> Element:
     """The tree of a page. End tags without a start are dropped; missing ends are implied."""
     root = Element("#root")
     open_ = [root]
-    deeper: list[str] = []  # open elements below MAX_DEPTH
+    held = Counter()  # open elements of each tag, so that a search for none is not made
     at = 0
 
+    def close(i: int) -> None:
+        held.subtract(e.tag for e in open_[i:])
+        del open_[i:]
+
     def end(tags: set[str] | frozenset[str], walls: set[str] | frozenset[str]) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i].tag in tags:
-                del open_[i:]
-                deeper.clear()
-                # an ended element may itself sit in another one that has to end
-                end(tags, walls)
-                return
-            if open_[i].tag in walls:
+        # an ended element may itself sit in another one that has to end
+        while any(held[t] > 0 for t in tags):
+            for i in range(len(open_) - 1, 0, -1):
+                if open_[i].tag in tags:
+                    close(i)
+                    break
+                if open_[i].tag in walls:
+                    return
+            else:
                 return
 
     while at < len(html):
@@ -109,20 +122,16 @@ def parse(html: str) -> Element:
         tag = m[2].lower()
         attributes, at = _attributes(html, at)
         if m[1]:
-            if tag in deeper:
-                del deeper[len(deeper) - 1 - deeper[::-1].index(tag) :]
-                continue
-            if tag == "p" and not any(e.tag == "p" for e in open_):
+            if tag == "p" and held["p"] <= 0:
                 open_[-1].children.append(Element("p"))  # as browsers do
                 continue
             if tag == "br":
                 open_[-1].children.append(Element("br"))
                 continue
             wall = {"table"} if tag not in ("table", "body", "html") else set()
-            for i in range(len(open_) - 1, 0, -1):
+            for i in range(len(open_) - 1 if held[tag] > 0 else 0, 0, -1):
                 if open_[i].tag == tag:
-                    del open_[i:]
-                    deeper.clear()
+                    close(i)
                     break
                 if open_[i].tag in wall:
                     break
@@ -132,7 +141,7 @@ def parse(html: str) -> Element:
         if tag in ENDS:
             end(*ENDS[tag])
         if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", open_[-1].tag):
-            open_.pop()
+            close(len(open_) - 1)
         element = Element(tag, attributes)
         open_[-1].children.append(element)
         if tag in VOID:
@@ -143,50 +152,134 @@ def parse(html: str) -> Element:
             element.children.append(unescape(text) if tag in ("textarea", "title") else text)
             at = stop.end() if stop else len(html)
             continue
-        if tag in ("head", "body", "html") and sum(e.tag == tag for e in open_) > 0:
+        if tag in ("head", "body", "html") and held[tag] > 0:
             continue
-        if tag == "body":
+        if tag == "body" and held["head"] > 0:
             open_[:] = [e for e in open_ if e.tag != "head"]
-        if len(open_) < MAX_DEPTH:
-            open_.append(element)
-        else:
-            deeper.append(tag)
+            held["head"] = 0
+        open_.append(element)
+        held[tag] += 1
     return root
 
 
 @dataclass
-class Rules:
-    """What style elements hide: plain selectors of one tag, ids and classes, without conditions."""
+class Rule:
+    """One selector of a style rule, as compounds from the outermost on, and the properties it sets.
+
+    A compound is (whether it must be the parent's child, tag, ids and classes); ``rank`` orders
+    rules by specificity and place.
+    """
 
-    selectors: list[tuple[str, frozenset[str]]]
+    compounds: list[tuple[bool, str, frozenset[str]]]
+    values: dict[str, tuple[bool, str]]  # property -> (important, value)
+    rank: tuple[int, int, int, int]
 
-    def hide(self, e: Element) -> bool:
-        a = e.attributes
-        if e.tag in HIDDEN or "hidden" in a or (e.tag == "input" and a.get("type", "").lower() == "hidden"):
-            return True
-        if "style" in a and _GONE.search(a["style"]):
-            return True
-        if self.selectors and ("class" in a or "id" in a or any(not marks for _, marks in self.selectors)):
-            own = {f".{c}" for c in a.get("class", "").split()} | {f"#{a['id']}"} if "id" in a else {f".{c}" for c in a.get("class", "").split()}
-            return any((not tag or tag == e.tag) and marks <= own for tag, marks in self.selectors)
-        return False
+
+def _values(body: str) -> dict[str, tuple[bool, str]]:
+    """The last display and visibility of a block of declarations; an important one stands against later others."""
+    out: dict[str, tuple[bool, str]] = {}
+    for name, value, important in _STYLE.findall(body):
+        now = (bool(important), value.lower())
+        if now[0] >= out.get(name.lower(), (False, ""))[0]:
+            out[name.lower()] = now
+    return out
 
 
-def rules_of(root: Element) -> Rules:
-    found: list[tuple[str, frozenset[str]]] = []
-    stack = [root]
+def _compounds(selector: str) -> list[tuple[bool, str, frozenset[str]]] | None:
+    """None for a selector with attributes, states or siblings, which says nothing here."""
+    out, child = [], False
+    for part in selector.replace(">", " > ").split():
+        if part == ">":
+            child = True
+            continue
+        m = _COMPOUND.match(part)
+        if not m:
+            return None
+        out.append((child, "" if m[1] in (None, "*") else m[1].lower(), frozenset(re.findall(r"[.#][\w-]+", m[2]))))
+        child = False
+    return out or None
+
+
+def _blocks(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules that hold on a screen; other at-rules are passed over."""
+    waiting = [re.sub(r"/\*.*?(?:\*/|\Z)", "", css, flags=re.S)]
+    while waiting:
+        text, at = waiting.pop(), 0
+        while m := re.compile(r"[{};]").search(text, at):
+            head, at = text[at : m.start()].strip(), m.end()
+            if m[0] != "{":
+                continue
+            depth, stop = 1, at
+            while depth and (edge := re.compile(r"[{}]").search(text, stop)):
+                depth += 1 if edge[0] == "{" else -1
+                stop = edge.end()
+            body, at = text[at : stop - 1] if not depth else text[at:], stop if not depth else len(text)
+            if not head.startswith("@"):
+                yield head, body
+            elif re.match(r"@(?:layer|supports)\b", head, re.I) or (
+                (query := re.match(r"@media\b(.*)", head, re.I | re.S)) and any(" ".join(q.split()).lower() in _SCREEN for q in query[1].split(","))
+            ):
+                waiting.append(body)
+
+
+def rules_of(root: Element) -> list[Rule]:
+    """Rules of the style elements that set display or visibility, those that win last."""
+    sheets, stack = [], [root]
     while stack:
         e = stack.pop()
-        if e.tag == "style":
-            css = re.sub(r"/\*.*?\*/", "", "".join(c for c in e.children if isinstance(c, str)), flags=re.S)
-            for selectors, body in _RULES.findall(css):
-                if _GONE.search(body):
-                    for s in selectors.split(","):
-                        m = _SELECTOR.match(s.strip())
-                        if m and s.strip():
-                            found.append(((m[1] or "").lower(), frozenset(re.findall(r"[.#][\w-]+", m[2]))))
-        stack += [c for c in e.children if isinstance(c, Element)]
-    return Rules(found)
+        if e.tag == "style" and " ".join(e.attributes.get("media", "").split()).lower() in _SCREEN:
+            sheets.append("".join(c for c in e.children if isinstance(c, str)))
+        stack += [c for c in reversed(e.children) if isinstance(c, Element)]
+    found: list[Rule] = []
+    for selectors, body in (block for css in sheets for block in _blocks(css)):
+        values = _values(body)
+        for selector in selectors.split(",") if values else ():
+            compounds = _compounds(selector)
+            if compounds:
+                marks = [m for _, _, own in compounds for m in own]
+                ids = sum(m[0] == "#" for m in marks)
+                found.append(Rule(compounds, values, (ids, len(marks) - ids, sum(bool(tag) for _, tag, _ in compounds), len(found))))
+    return sorted(found, key=lambda rule: rule.rank)
+
+
+Chain = tuple[str, frozenset[str], "Chain | None"]  # tag and marks of an element, and its parent's
+
+
+def _fits(chain: Chain | None, compounds: list[tuple[bool, str, frozenset[str]]], k: int) -> bool:
+    """Whether an element, given with its ancestors, meets the first k + 1 compounds."""
+    child, tag, marks = compounds[k]
+    if chain is None or (tag and tag != chain[0]) or not marks <= chain[1]:
+        return False
+    if k == 0:
+        return True
+    above = chain[2]
+    while above is not None and not _fits(above, compounds, k - 1):
+        if child:
+            return False
+        above = above[2]
+    return above is not None
+
+
+def mark(root: Element, rules: list[Rule]) -> int:
+    """Sets ``gone`` and ``shown`` of all elements; the depth of the tree."""
+    deepest = 0
+    stack: list[tuple[Element, Chain | None, bool, int]] = [(root, None, True, 0)]
+    while stack:
+        e, above, shown, depth = stack.pop()
+        deepest = max(deepest, depth)
+        a = e.attributes
+        own = frozenset([*(f".{c}" for c in a.get("class", "").split()), *([f"#{a['id']}"] if "id" in a else [])]) if rules else frozenset()
+        chain = (e.tag, own, above)
+        values: dict[str, tuple[bool, str]] = {}
+        for rule in [r.values for r in rules if _fits(chain, r.compounds, len(r.compounds) - 1)] + ([_values(a["style"])] if "style" in a else []):
+            values |= {name: value for name, value in rule.items() if value[0] >= values.get(name, (False, ""))[0]}
+        display = values.get("display", (False, "none" if "hidden" in a else ""))[1]
+        visibility = values.get("visibility", (False, ""))[1]
+        e.gone = e.tag in HIDDEN or display == "none" or (e.tag == "input" and a.get("type", "").lower() == "hidden")
+        e.shown = visibility not in ("hidden", "collapse") if visibility in ("visible", "hidden", "collapse") else shown
+        if not e.gone:
+            stack += [(c, chain, e.shown, depth + 1) for c in e.children if isinstance(c, Element)]
+    return deepest
 
 
 class Layout:
@@ -220,28 +313,29 @@ class Layout:
         self.lines += lines
 
 
-def _visible(e: Element, rules: Rules) -> list:
+def _visible(e: Element) -> list:
     if e.tag == "details" and "open" not in e.attributes:
         return [c for c in e.children if isinstance(c, Element) and c.tag == "summary"]
     return e.children
 
 
-def lines_of(e: Element, rules: Rules, depth: int = 0) -> list[str]:
+def lines_of(e: Element, depth: int = 0) -> list[str]:
     """The text lines of an element's contents."""
     out = Layout()
-    _inline(e, rules, out, depth)
+    _inline(e, out, depth)
     out.end()
     return out.lines
 
 
-def _inline(e: Element, rules: Rules, out: Layout, depth: int) -> None:
+def _inline(e: Element, out: Layout, depth: int) -> None:
     number = int(e.attributes["start"]) if e.tag == "ol" and re.fullmatch(r"-?\d{1,9}", e.attributes.get("start", "")) else 1
-    for child in _visible(e, rules):
+    for child in _visible(e):
         if isinstance(child, str):
-            out.text(child)
+            if e.shown:
+                out.text(child)
             continue
         tag = child.tag
-        if rules.hide(child):
+        if child.gone:
             continue
         if tag == "br":
             if "".join(out.line).strip():
@@ -252,25 +346,25 @@ def _inline(e: Element, rules: Rules, out: Layout, depth: int) -> None:
             continue
         elif tag == "hr":
             out.gap()
-            out.add([RULE])
+            out.add([RULE] if child.shown else [])
             out.gap()
         elif tag in ("pre", "xmp", "textarea"):
             out.gap()
-            text = _plain(child, rules).replace("\r\n", "\n").replace("\r", "\n").removeprefix("\n").rstrip()
+            text = _plain(child).replace("\r\n", "\n").replace("\r", "\n").removeprefix("\n").rstrip()
             out.add(text.split("\n") if text else [])
             out.gap()
         elif tag == "table":
             out.gap()
-            out.add(_table(child, rules, depth))
+            out.add(_table(child, depth))
             out.gap()
         elif tag in ("ul", "ol", "menu", "dir"):
             nested = depth > 0
             out.end() if nested else out.gap()
-            out.add(lines_of(child, rules, depth + 1))
+            out.add(lines_of(child, depth + 1))
             out.end() if nested else out.gap()
         elif tag == "li":
             out.end()
-            lines = lines_of(child, rules, depth)
+            lines = lines_of(child, depth)
             if e.tag == "ol":
                 value = child.attributes.get("value", "")
                 number = int(value) if re.fullmatch(r"-?\d{1,9}", value) else number
@@ -282,41 +376,42 @@ def _inline(e: Element, rules: Rules, out: Layout, depth: int) -> None:
             out.add([(f"{mark} " if i == 0 else pad if line else "") + line for i, line in enumerate(lines)])
         elif tag in ("dd", "blockquote"):
             out.gap() if tag in SPACED else out.end()
-            out.add([f"  {line}" if line else "" for line in lines_of(child, rules, depth)])
+            out.add([f"  {line}" if line else "" for line in lines_of(child, depth)])
             out.gap() if tag in SPACED else out.end()
         elif tag in BLOCK or tag in ("tr", "thead", "tbody", "tfoot"):
             out.gap() if tag in SPACED else out.end()
-            _inline(child, rules, out, depth)
+            _inline(child, out, depth)
             out.gap() if tag in SPACED else out.end()
         elif tag in ("td", "th"):  # outside a table
             out.text(" ")
-            _inline(child, rules, out, depth)
+            _inline(child, out, depth)
             out.text(" ")
         elif tag == "input":
-            if child.attributes.get("type", "text").lower() in ("submit", "button", "reset", "text"):
+            if child.shown and child.attributes.get("type", "text").lower() in ("submit", "button", "reset", "text"):
                 out.text(f" {child.attributes.get('value', '')} ")
         else:
-            _inline(child, rules, out, depth)
+            _inline(child, out, depth)
 
 
-def _plain(e: Element, rules: Rules) -> str:
+def _plain(e: Element) -> str:
     parts = []
-    for child in _visible(e, rules):
+    for child in _visible(e):
         if isinstance(child, str):
-            parts.append(child)
+            parts.append(child if e.shown else "")
         elif child.tag == "br":
             parts.append("\n")
-        elif not rules.hide(child):
-            parts.append(_plain(child, rules))
+        elif not child.gone:
+            parts.append(_plain(child))
     return "".join(parts)
 
 
-def _span(e: Element, name: str) -> int:
-    value = e.attributes.get(name, "1")
-    return min(max(int(value), 1), 50) if re.fullmatch(r"\d{1,4}", value) else 1
+def _span(e: Element, name: str, most: int) -> int:
+    value = re.match(r"\s*\+?(\d+)", e.attributes.get(name, "1"))
+    n = int(value[1][:9]) if value else 1
+    return min(n, most) if n else most if name == "rowspan" else 1  # a rowspan of 0 goes on to the end
 
 
-def _table(table: Element, rules: Rules, depth: int) -> list[str]:
+def _table(table: Element, depth: int) -> list[str]:
     """Rows with cells side by side, columns padded to one width; a caption above."""
     captions: list[str] = []
     sections: dict[str, list[Element]] = {"thead": [], "tbody": [], "tfoot": []}
@@ -325,12 +420,12 @@ def _table(table: Element, rules: Rules, depth: int) -> list[str]:
         loose: list = []
         for child in e.children:
             if isinstance(child, str):
-                if child.strip():
+                if child.strip() and e.shown:
                     loose.append(child)
-            elif rules.hide(child):
+            elif child.gone:
                 continue
             elif child.tag == "caption":
-                captions.extend(lines_of(child, rules, depth))
+                captions.extend(lines_of(child, depth))
             elif child.tag in ("thead", "tbody", "tfoot"):
                 walk(child, child.tag)
             elif child.tag == "tr":
@@ -341,7 +436,7 @@ def _table(table: Element, rules: Rules, depth: int) -> list[str]:
                 sections[section][-1].children.append(child)
             elif child.tag not in ("col", "colgroup"):
                 loose.append(child)
-        captions.extend(lines_of(Element("#loose", {}, loose), rules, depth) if loose else [])
+        captions.extend(lines_of(Element("#loose", {}, loose), depth) if loose else [])
 
     walk(table, "tbody")
     grid: list[list[list[str]]] = []
@@ -357,16 +452,16 @@ def _table(table: Element, rules: Rules, depth: int) -> list[str]:
                 cells.append([])
 
         for child in row.children:
-            if not isinstance(child, Element) or rules.hide(child):
+            if not isinstance(child, Element) or child.gone:
                 continue
             skip()
-            width, height = (_span(child, "colspan"), _span(child, "rowspan")) if child.tag in ("td", "th") else (1, 1)
-            content = lines_of(child, rules, depth) if child.tag in ("td", "th") else lines_of(Element("#cell", {}, [child]), rules, depth)
+            width, height = (_span(child, "colspan", MOST_COLUMNS), _span(child, "rowspan", MOST_ROWS)) if child.tag in ("td", "th") else (1, 1)
+            content = lines_of(child, depth) if child.tag in ("td", "th") else lines_of(Element("#cell", {}, [child]), depth)
             for k in range(width):
                 if height > 1:
                     below[len(cells)] = height - 1
                 cells.append(content if k == 0 else [])
-        text = " ".join(c for c in row.children if isinstance(c, str)).strip()
+        text = " ".join(c for c in row.children if isinstance(c, str) and row.shown).strip()
         if text:
             cells.append([_SPACE.sub(" ", text)])
         skip()
@@ -391,7 +486,10 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    lines = lines_of(root, rules_of(root))
+    deepest = mark(root, rules_of(root))
+    # a level of the tree takes a few calls, none of which is on the C stack
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 6 * deepest + 1000))
+    lines = lines_of(root)
     while lines and not lines[-1]:
         lines.pop()
     return "\n".join(line.rstrip(" ") for line in lines)

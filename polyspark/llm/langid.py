@@ -2,7 +2,7 @@
 
 A text's features are its words and their 3- and 4-byte strings (word marks included), hashed to
 ``BUCKETS`` rows of an embedding. The average of the rows times a matrix gives the logits. As
-both steps are linear, scoring multiplies them out once and gathers one short row per feature.
+both steps are linear, a model of fewer languages than dimensions multiplies them out once.
 """
 
 from __future__ import annotations
@@ -16,16 +16,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polyspark.llm.common import held_out
+from polyspark.llm.common import held_out, join_small
 from polyspark.llm.text import LOWER, U64, Texts, bounds_of_words, range_hashes, ranges, slices, texts_of
+from polyspark.session import saved
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
-SAMPLE_PER_LANGUAGE = 500  # labelled rows a model is fitted on: about so many of each language
+SAMPLE_PER_LANGUAGE = 500  # labelled rows a model is fitted on: about so many of each language,
+SAMPLE_ROWS = 20_000  # fewer if there are many languages, but LEAST_PER_LANGUAGE of each
+LEAST_PER_LANGUAGE = 20
+SAMPLE_BYTES = 64 << 20  # and fewer again if their texts are long: characters of the sample, about
 SAMPLE_CHARACTERS = 1 << 16  # longer texts are not drawn for the sample
-SAMPLE_LANGUAGES = 256  # languages with most labelled rows; bounds what reaches the driver
 STEPS = 1500  # gradient steps: whole passes over the sample, at least so many
 RATE = 0.5
+MANY = 128  # with more languages a gradient is shared by more rows, so steps and rate grow with their number
 STEP = 40  # an averaged row moves little by itself
 BATCH = 16
 ACCEPT = 0.999  # share of rightly predicted calibration texts that rejection must let pass
@@ -56,21 +60,22 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Languages and the logits each feature row adds; ``heat`` divides logits, ``least`` is the score below which to reject."""
+    """Languages, the row of each feature and the matrix from their average to logits; ``heat`` divides logits, ``least`` is the score below which to reject."""
 
     languages: list[str]
     table: np.ndarray
+    weights: np.ndarray
     bias: np.ndarray
     heat: float
     least: float
 
     def probabilities(self, texts: Texts) -> np.ndarray:
         rows, owner = features(texts)
-        logits = np.empty((len(texts), len(self.languages)))
+        mean = np.empty((len(texts), self.table.shape[1]))
         times = np.maximum(np.bincount(owner, minlength=len(texts)), 1)
-        for k in range(len(self.languages)):
-            logits[:, k] = np.bincount(owner, self.table[rows, k], minlength=len(texts)) / times + self.bias[k]
-        return _softmax(logits / self.heat)
+        for k in range(self.table.shape[1]):
+            mean[:, k] = np.bincount(owner, self.table[rows, k], minlength=len(texts)) / times
+        return _softmax((mean @ self.weights + self.bias) / self.heat)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -83,7 +88,7 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Model:
     rows = rows.sort_values(["lang", "text"], kind="stable").reset_index(drop=True)
     languages = sorted(rows["lang"].unique().tolist())
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros((0, 0)), np.zeros(0), 1.0, 0.0)
     target = np.searchsorted(languages, rows["lang"].to_numpy(dtype=str))
     parts = []
     for a in range(0, len(rows), 32):  # a few texts at a time, as each byte makes two features
@@ -101,9 +106,10 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Model:
     bias = np.zeros(len(languages), np.float32)
     calibrate = np.arange(len(rows)) % 5 == 4
     learn = np.flatnonzero(~calibrate & (np.diff(bounds) > 0))
-    epochs = -(-STEPS // max(1, -(-len(learn) // BATCH)))
+    more = max(1.0, len(languages) / MANY)
+    epochs = -(-int(STEPS * more) // max(1, -(-len(learn) // BATCH)))
     for epoch in range(epochs):
-        rate = RATE * (1 - epoch / epochs)
+        rate = RATE * more * (1 - epoch / epochs)
         rng.shuffle(learn)
         for a in range(0, len(learn), BATCH):
             batch = learn[a : a + BATCH]
@@ -119,7 +125,8 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Model:
             step = np.repeat(-rate * STEP * down / len(batch), sizes, axis=0) * weight
             for d in range(DIMENSIONS):
                 embedding[:, d] += np.bincount(picked, step[:, d], minlength=BUCKETS)
-    model = Model(languages, (embedding @ weights).astype(np.float32), bias.astype(np.float64), 1.0, 0.0)
+    table, matrix = (embedding @ weights, np.eye(len(languages))) if len(languages) < DIMENSIONS else (embedding, weights)
+    model = Model(languages, table.astype(np.float32), matrix.astype(np.float64), bias.astype(np.float64), 1.0, 0.0)
     held = np.flatnonzero(calibrate & (np.diff(bounds) > 0))
     if len(held):
         kept = rows["text"].to_numpy()[held]
@@ -136,21 +143,21 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Model:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """About ``SAMPLE_PER_LANGUAGE`` labelled rows a language, chosen by a hash of the text.
+    """About ``SAMPLE_PER_LANGUAGE`` labelled rows of every language, chosen by a hash of the text.
 
-    Rows held out and texts of more than ``SAMPLE_CHARACTERS`` are left out; whole texts are returned.
+    Each language has an equal part of ``SAMPLE_ROWS`` and ``SAMPLE_BYTES``. Rows held out and texts of more than ``SAMPLE_CHARACTERS`` are left out; whole texts are returned.
     """
     usable = F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARACTERS)
     named = docs.where(usable & ~held_out()).select(
         F.col("text").cast("string"), F.col("lang").cast("string")
     )
-    counts = named.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(SAMPLE_LANGUAGES).collect()
-    share = {r["lang"]: SAMPLE_PER_LANGUAGE / r["count"] for r in counts}
-    if not share:
-        return named.limit(0)
+    counts = saved(named.groupBy("lang").agg(F.count("*").alias("_n"), F.sum(F.length("text")).alias("_size")))
+    languages = max(counts.count(), 1)
+    rows = max(min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // languages), LEAST_PER_LANGUAGE)
+    share = F.least(rows / F.col("_n"), SAMPLE_BYTES / languages / F.greatest("_size", F.lit(1)))
+    least = F.least(F.lit(1.0), 2 / F.col("_n"))  # a language of long texts has some rows all the same
     draw = (F.xxhash64("text") % 1_000_000_007 + 1_000_000_007) / 2_000_000_014.0
-    chosen = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
-    return named.where(draw < chosen[F.col("lang")])
+    return join_small(named, counts.select("lang", F.greatest(share, least).alias("_share")), "lang").where(draw < F.col("_share")).select("text", "lang")
 
 
 def fit(docs: DataFrame) -> Model:

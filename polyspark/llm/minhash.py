@@ -96,7 +96,7 @@ def matrix(column: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, th, n_shingles, name, sig): a hash of the text, the set's size, its 16-byte name and its 32-bit minima. Null text is empty."""
+    """Rows (doc_id, th, n_shingles, name, sig): md5 of the text, the set's size, its 16-byte name and its 32-bit minima. Null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
@@ -115,8 +115,8 @@ def signatures(docs: DataFrame) -> DataFrame:
             )
 
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.hash(text).alias("th")).mapInArrow(
-        run, "doc_id long, th int, n_shingles long, name binary, sig binary"
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("th")).mapInArrow(
+        run, "doc_id long, th string, n_shingles long, name binary, sig binary"
     )
 
 
@@ -209,10 +209,18 @@ def _set_rows(picked: DataFrame) -> DataFrame:
     """The sets of the classes: rows (key, name, n, members, _blocks) for input (doc_id, text, name, key, _blocks)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
+        seen: set[bytes] = set()  # a repeated row gives its set once a task
+        for batch in batches:
+            new = []
+            for i, name in enumerate(batch.column("name").to_pylist()):
+                if name not in seen:
+                    seen.add(name)
+                    new.append(i)
+            yield from sets(batch.take(pa.array(new, pa.int64())))
+
+    def sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(iter([batch])):
             values, offs = shingle_sets(texts)
-            mine = matrix(batch.column("name"), U64)
-            same = (set_names(values, offs) == mine).all(1)  # not so for another text under a repeated doc_id
             members = pa.BinaryArray.from_buffers(
                 pa.binary(), len(texts), [None, pa.py_buffer((offs * 8).astype(np.int32)), pa.py_buffer(values)]
             )
@@ -220,7 +228,7 @@ def _set_rows(picked: DataFrame) -> DataFrame:
                 [batch.column("key"), batch.column("name"), pa.array(np.diff(offs)), members, batch.column("_blocks")],
                 ["key", "name", "n", "members", "_blocks"],
             )
-            yield out.filter(pa.array(same))
+            yield out
 
     return picked.mapInArrow(run, "key long, name binary, n long, members binary, _blocks long")
 
@@ -276,18 +284,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Reads doc_id and text. Documents whose sets have a Jaccard similarity of at least 0.85 are
     linked; ``component_id`` is the smallest doc_id reachable over links and ``kept`` marks it.
-    ``group`` names the component whatever its ids (null for an empty set), ``th`` is a hash of the
-    text that tells rows of one doc_id apart. A
+    ``group`` names the component whatever its ids (null for an empty set), ``th`` is md5 of the
+    text and tells rows of one doc_id apart. A
     null or wordless text has an empty set, is linked with nothing and is kept. A null doc_id is
     larger than any other and kept only if its whole component has null ids. Repeated rows come
     out repeated, with equal values. Empty in, empty out.
     """
     signed = saved(signatures(docs))
     classes = saved(
-        signed.where("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+        signed.where("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)), "th"))["th"].alias("th"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     )
     maybe = components(candidates(classes))
-    maybe = saved(maybe.join(classes.select("name", "least", "n_shingles"), F.col("node") == F.col("name")).drop("node"))
+    maybe = saved(maybe.join(classes.select("name", "least", "th", "n_shingles"), F.col("node") == F.col("name")).drop("node"))
     weights = maybe.groupBy("root").agg(F.count("*").alias("_count"), (F.sum("n_shingles") * 8).alias("_bytes"))
     blocks = F.when(
         (F.col("_count") > SET_BLOCK) | (F.col("_bytes") > SET_BLOCK_BYTES),
@@ -295,11 +303,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).otherwise(F.lit(1))
     wanted = saved(
         maybe.join(weights.select("root", blocks.cast("long").alias("_blocks")), "root").select(
-            F.coalesce("least", F.lit(NULL_ID)).alias("_id"), "name", F.xxhash64("root").alias("key"), "_blocks"
+            F.coalesce("least", F.lit(NULL_ID)).alias("_id"), F.col("th").alias("_th"), "name", F.xxhash64("root").alias("key"), "_blocks"
         )
     )
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), F.col("text").cast("string"))
-    sets = _set_rows(join_small(texts, wanted, "_id").select("text", "name", "key", "_blocks"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), F.md5(text.cast("binary")).alias("_th"), text.alias("text"))
+    sets = _set_rows(join_small(texts, wanted, ["_id", "_th"]).select("text", "name", "key", "_blocks"))
     links = components(by_group(in_blocks(sets, "key", "_blocks", "name"), "key", _set_forest, "a binary, b binary"))
     placed = classes.select("name", "least").join(links, F.col("name") == F.col("node"), "left")
     placed = placed.select("name", "least", F.coalesce("root", "name").alias("root"))

@@ -66,7 +66,7 @@ def mix_sources(
     often as the target holds the whole source, then in hash order up to the exact budget, where
     the last document is taken in part.
 
-    The order within a source is md5(id and seed), so reruns agree; equal ids are ordered by size.
+    The order within a source is md5(id and seed), so reruns agree; equal ids are ordered by size, then by a hash of the text.
     Null text has size 0 and takes nothing; a null source is a source of its own, last in order; a
     null id is hashed as the empty string; a repeated row is a document of its own. Empty in,
     empty out.
@@ -75,14 +75,14 @@ def mix_sources(
     source = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source").cast("string")))
     carried = [F.col(c).alias(f"_carried{i}") for i, c in enumerate(carry)]
     full = docs.select(
-        "doc_id", "source", source.alias("_source"), size_in_words().alias("size"), key.alias("_key"), *carried
+        "doc_id", "source", source.alias("_source"), size_in_words().alias("size"), key.alias("_key"), F.xxhash64(F.col("text").cast("string")).alias("_th"), *carried
     ).withColumn("_bucket", F.substring("_key", 1, BUCKET_HEX))
     rows = saved(full.drop(*[f"_carried{i}" for i in range(len(carried))]))
     buckets = rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("_size"))
     targets = source_targets(buckets.groupBy("_source").agg(F.sum("_size").alias("source_size")), weights, max_repeats)
     earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.select("_source", "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")).join(targets, "_source")
-    inside = Window.partitionBy("_source", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_source", "_bucket").orderBy("_key", "doc_id", "size", "_th").rowsBetween(Window.unboundedPreceding, -1)
     placed = (full if carried else rows).withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["_source", "_bucket"])
     budget, whole = F.floor("target"), F.greatest("source_size", F.lit(1))
     before = F.col("_start") + F.col("_inside")

@@ -34,7 +34,7 @@ FILTER_BITS = 1 << 27
 LONGEST = 64
 LAST_ID = (1 << 63) - 1
 BATCH_BYTES = 1 << 20
-VERDICTS = "route long, seg int, from int, to int, first_doc long, base int"
+VERDICTS = "route long, seg long, from int, to int, first_doc long, base int"
 
 
 @dataclass(frozen=True)
@@ -192,10 +192,11 @@ def repeated_routes(docs: DataFrame, kind: Kind) -> np.ndarray:
 
 @dataclass
 class Found:
-    """Segments on repeated routes: rows (doc, th, start, route, name) and, for folding, where their bytes are."""
+    """Segments on repeated routes: rows (doc, t1, t2, start, route, name) and, for folding, where their bytes are."""
 
     doc: np.ndarray
-    th: np.ndarray
+    t1: np.ndarray
+    t2: np.ndarray
     start: np.ndarray
     route: np.ndarray
     name: np.ndarray
@@ -205,7 +206,7 @@ class Found:
 
 
 def _scan(kind: Kind, bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[Found]:
-    """The segments of each slice of rows (doc, th, text) that stand on repeated routes; starts are in units of their text."""
+    """The segments of each slice of rows (doc, t1, t2, text) that stand on repeated routes; starts are in units of their text."""
     buckets, segment = bits.shape[0], bits.shape[1] * 8
     for batch, texts in slices(batches):
         hashes, offs, cut = _units(kind, texts)
@@ -217,8 +218,8 @@ def _scan(kind: Kind, bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> It
             runs = Runs(runs.doc[hit], runs.start[hit], runs.count[hit], runs.route[hit])
             data, begin, length = cut(runs)
             name = range_hashes(data, begin, begin + length)
-            doc, th = (batch.column(c).to_numpy()[runs.doc] for c in ("doc", "th"))
-            yield Found(doc, th, runs.start - offs[runs.doc], runs.route, name, data, begin, length)
+            doc, t1, t2 = (batch.column(c).to_numpy()[runs.doc] for c in ("doc", "t1", "t2"))
+            yield Found(doc, t1, t2, runs.start - offs[runs.doc], runs.route, name, data, begin, length)
 
 
 def _fold(found: list[Found], by_start: bool) -> Iterator[pa.RecordBatch]:
@@ -230,9 +231,9 @@ def _fold(found: list[Found], by_start: bool) -> Iterator[pa.RecordBatch]:
     found.clear()
     if not by_start:
         start = np.zeros_like(start)
-    key = mix(route) ^ name
-    order = np.lexsort((start, doc, key))
-    new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    order = np.lexsort((start, doc, name, route))
+    r, s = route[order], name[order]
+    new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] != s[:-1])]))
     times = np.diff(np.concatenate([new, [len(order)]])).astype(np.int32)
     first = order[new]
     block = np.cumsum(length[first]) // BATCH_BYTES
@@ -242,7 +243,7 @@ def _fold(found: list[Found], by_start: bool) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(route[at].view(np.int64)),
-                pa.array(name[at].astype(np.uint32).view(np.int32)),
+                pa.array(name[at].view(np.int64)),
                 binary_column(data, begin[at], length[at]),
                 pa.array(doc[at]),
                 pa.array(start[at].astype(np.int32)),
@@ -256,7 +257,7 @@ def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: boo
     """Segments on repeated routes, one row per content and about ``fold_bytes`` of a task's text: route, seg, body, doc, start, times.
 
     Folding before the shuffle turns a passage that many documents share into one row of each
-    stretch of a task. The route and ``seg`` (32 more bits) name the content.
+    stretch of a task. The route and ``seg``, 128 bits in all, name the content.
     """
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -272,19 +273,19 @@ def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: boo
         if held:
             yield from _fold(held, by_start)
 
-    return docs.mapInArrow(run, "route long, seg int, body binary, doc long, start int, times int")
+    return docs.mapInArrow(run, "route long, seg long, body binary, doc long, start int, times int")
 
 
 def placed_segments(docs: DataFrame, kind: Kind, bits: np.ndarray) -> DataFrame:
-    """All places of the segments on repeated routes: doc, th, start, route, seg."""
+    """All places of the segments on repeated routes: doc, t1, t2, start, route, seg."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for f in _scan(kind, sent.value, batches):
-            columns = (f.doc, f.th, f.start.astype(np.int32), f.route.view(np.int64), f.name.astype(np.uint32).view(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "th", "start", "route", "seg"])
+            columns = (f.doc, f.t1, f.t2, f.start.astype(np.int32), f.route.view(np.int64), f.name.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "t1", "t2", "start", "route", "seg"])
 
-    return docs.mapInArrow(run, "doc long, th int, start int, route long, seg int")
+    return docs.mapInArrow(run, "doc long, t1 long, t2 long, start int, route long, seg long")
 
 
 def verdicts(seg: np.ndarray, window: np.ndarray, group: np.ndarray, doc: np.ndarray, start: np.ndarray, by_start: bool) -> tuple[np.ndarray, ...]:
@@ -333,16 +334,17 @@ def _judge(table: pa.Table, find: Find, by_start: bool) -> Iterator[pa.RecordBat
     )
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, th, text): the id in order (null last), a hash of the text to tell rows of one id apart, the text (null: empty)."""
+def row_name() -> list[Column]:
+    """(doc, t1, t2, text): the id in order (null last), 128 bits of the text to tell rows of one id apart, the text (null: empty)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.hash(text).alias("th"), text.alias("text"))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    return [doc.alias("doc"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2"), text.alias("text")]
 
 
 def repeated_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> DataFrame:
-    """Units covered by a window that also stands earlier: rows (doc, th, spans), spans an array of (from, to) in units.
+    """Units covered by a window that also stands earlier: rows (doc, t1, t2, spans), spans an array of (from, to) in units.
 
-    ``docs`` is ``keyed``. Earlier means in a document of smaller id, and with ``by_start`` also at
+    ``docs`` has the columns of ``row_name``; rows of one name share their spans. Earlier means in a document of smaller id, and with ``by_start`` also at
     a smaller start of the same document.
     """
     bits = repeated_routes(docs, kind)
@@ -355,8 +357,8 @@ def repeated_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> D
     if by_start:
         earlier = earlier | ((F.col("first_doc") == F.col("doc")) & (F.col("base") < F.col("start")))
     a, b = F.col("start") + F.col("from"), F.col("start") + F.col("to") + (kind.width - 1)
-    spans = told.where(earlier).select("doc", "th", F.struct(a.alias("a"), b.alias("b")).alias("span"))
-    return spans.groupBy("doc", "th").agg(F.collect_list("span").alias("spans"))
+    spans = told.where(earlier).select("doc", "t1", "t2", F.struct(a.alias("a"), b.alias("b")).alias("span"))
+    return spans.groupBy("doc", "t1", "t2").agg(F.collect_set("span").alias("spans"))
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -372,17 +374,14 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 def with_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool, carry: Sequence[str] = ()) -> DataFrame:
     """Every row of ``docs`` as (doc_id, text, spans, carried0, ...); spans are null where nothing repeats."""
-    spans = saved(repeated_spans(keyed(docs), kind, find, by_start))
+    spans = saved(repeated_spans(docs.select(*row_name()), kind, find, by_start))
     tidy(docs.sparkSession)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
-        F.hash(text).alias("th"),
+        *row_name(),
         *[F.col(c).alias(f"carried{i}") for i, c in enumerate(carry)],
     )
-    return rows.join(spans, ["doc", "th"], "left").drop("doc", "th")
+    return rows.join(spans, ["doc", "t1", "t2"], "left").drop("doc", "t1", "t2")
 
 
 __all__ = ["BYTES", "WORDS", "Kind", "merged", "repeated_spans", "verdicts", "with_spans"]
