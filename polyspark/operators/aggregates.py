@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from polyspark.functions.hashing import hash_hex, hash_int
 from polyspark.functions.joins import null_safe_join
 from polyspark.functions.ranks import cut_in_order, position_by_hash, running_total
+from polyspark.functions.resample import resampled_sums
 from polyspark.operators import corpus_metrics as cm
 
 # --- means ----------------------------------------------------------------------------------
@@ -172,11 +170,11 @@ class Resampled:
 
 
 def mean_of(value: str) -> Resampled:
-    return Resampled({"_v": F.col(value).cast("double"), "_w": F.lit(1.0)}, lambda: F.col("_v") / F.col("_w"))
+    return Resampled({"_v": F.col(value).cast("double"), "_w": F.lit(1.0)}, lambda: F.try_divide("_v", "_w"))
 
 
 def perplexity_of(value: str) -> Resampled:
-    return Resampled({"_v": F.col(value).cast("double"), "_w": F.lit(1.0)}, lambda: F.exp(-F.col("_v") / F.col("_w")))
+    return Resampled({"_v": F.col(value).cast("double"), "_w": F.lit(1.0)}, lambda: F.exp(-F.try_divide("_v", "_w")))
 
 
 def f1_of(gold: str, pred: str) -> Resampled:
@@ -227,17 +225,6 @@ def index_draws(df: DataFrame, by: list[str], id_col: str, iters: int, seed: int
     return null_safe_join(drawn, placed, [*by, "_i"]).drop("_i")
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _poisson(seed: pd.Series, count: pd.Series, rounds: pd.Series) -> pd.Series:
-    """Poisson draws of mean ``count``, one per round, from a generator seeded per row."""
-    return pd.Series(
-        [
-            np.random.default_rng(int(s)).poisson(int(c), int(r)).astype(np.int32)
-            for s, c, r in zip(seed, count, rounds)
-        ]
-    )
-
-
 def bootstrap_stderr(
     df: DataFrame,
     by: list[str],
@@ -245,13 +232,13 @@ def bootstrap_stderr(
     id_col: str,
     iters: int,
     seed: int = 0,
-    method: str = "index",
+    method: str = "poisson",
 ) -> DataFrame:
     """Standard deviation of the metric over resamples with replacement: ``by``, stderr.
 
-    ``index`` draws rows exactly. ``poisson`` is for large groups: rows with equal
-    sums are first merged into a cell with a count, and each cell gets a Poisson
-    number of draws per round, so what is shuffled grows with the rounds only.
+    ``poisson`` lets each row count Poisson(1) times in a round; a task adds its rows up and sends
+    one sum a round. ``index`` draws exactly as many rows as there are and shuffles the draws,
+    rows times rounds, so it is for small groups.
     """
     names = list(metric.sums)
     if method == "index":
@@ -260,18 +247,7 @@ def bootstrap_stderr(
         weighted = null_safe_join(draws, rows, [*by, id_col])
         rounds = weighted.groupBy(*by, "round").agg(*[F.sum(F.col("times") * F.col(n)).alias(n) for n in names])
     elif method == "poisson":
-        cells = df.select(*by, *[c.alias(n) for n, c in metric.sums.items()]).groupBy(*by, *names).agg(
-            F.count(F.lit(1)).alias("_count")
-        )
-        draws = _poisson(
-            hash_int(seed, *[F.col(c) for c in [*by, *names]]), F.col("_count"), F.lit(rounds_used(iters))
-        )
-        rounds = (
-            cells.select(*by, *names, F.posexplode(draws).alias("round", "times"))
-            .where(F.col("times") > 0)
-            .groupBy(*by, "round")
-            .agg(*[F.sum(F.col("times") * F.col(n)).alias(n) for n in names])
-        )
+        rounds = resampled_sums(df, by, metric.sums, id_col, rounds_used(iters), seed)
     else:
         raise ValueError(f"unknown method {method!r}")
     return rounds.select(*by, metric.score().alias("_score")).groupBy(*by).agg(
@@ -280,14 +256,15 @@ def bootstrap_stderr(
 
 
 def bootstrap_matthews(
-    df: DataFrame, by: list[str], gold: str, pred: str, id_col: str, iters: int, seed: int = 0
+    df: DataFrame, by: list[str], gold: str, pred: str, id_col: str, iters: int, seed: int = 0, method: str = "poisson"
 ) -> DataFrame:
-    """Bootstrap of the Matthews correlation: draws are merged into confusion cells per round."""
-    draws = index_draws(df, by, id_col, iters, seed)
+    """Bootstrap of the Matthews correlation: what is drawn is summed into confusion cells per round."""
     rows = df.select(*by, id_col, F.col(gold).alias("gold"), F.col(pred).alias("pred"))
-    cells = (
-        null_safe_join(draws, rows, [*by, id_col]).groupBy(*by, "round", "gold", "pred").agg(F.sum("times").alias("n"))
-    )
+    if method == "index":
+        draws = index_draws(df, by, id_col, iters, seed)
+        cells = null_safe_join(draws, rows, [*by, id_col]).groupBy(*by, "round", "gold", "pred").agg(F.sum("times").alias("n"))
+    else:
+        cells = resampled_sums(rows, [*by, "gold", "pred"], {"n": F.lit(1)}, id_col, rounds_used(iters), seed)
     scores = matthews_from_cells(cells, [*by, "round"])
     return scores.groupBy(*by).agg(sample_stddev(F.col("matthews_corrcoef")).alias("stderr"))
 
@@ -334,11 +311,12 @@ def stderr_for(
     columns: dict[str, str],
     iters: int = BOOTSTRAP_ROUNDS,
     seed: int = 0,
-    method: str = "index",
+    method: str = "poisson",
 ) -> DataFrame | None:
     """``by``, stderr of an aggregate, or None where it has no standard error.
 
-    ``columns`` names the input columns: value, or gold and pred, or idx and prediction.
+    ``columns`` names the input columns: value, or gold and pred, or idx and prediction. The
+    median, which is no function of sums, is always drawn by index.
     """
     source = STDERR_SOURCE.get(aggregate)
     rounds = bootstrap_rounds(aggregate, iters)
@@ -353,7 +331,7 @@ def stderr_for(
     if aggregate == "median":
         return bootstrap_median(df, by, columns["value"], id_col, rounds, seed)
     if aggregate == "matthews_corrcoef":
-        return bootstrap_matthews(df, by, columns["gold"], columns["pred"], id_col, rounds, seed)
+        return bootstrap_matthews(df, by, columns["gold"], columns["pred"], id_col, rounds, seed, method)
     metric = {
         "f1_score": lambda: f1_of(columns["gold"], columns["pred"]),
         "perplexity": lambda: perplexity_of(columns["value"]),
@@ -380,19 +358,25 @@ AGGREGATE_OF = {
 LOWER_IS_BETTER = {"word_perplexity", "byte_perplexity", "bits_per_byte"}
 
 
-def aggregate_results(long: DataFrame, by: list[str], extra: dict[str, str] | None = None) -> DataFrame:
+def aggregate_results(
+    long: DataFrame, by: list[str], extra: dict[str, str] | None = None, rounds: int | None = None, id_col: str = "doc_id", seed: int = 0
+) -> DataFrame:
     """One row per group and metric: value, stderr, n, higher_is_better.
 
-    ``long`` has ``by``, metric, value and, for weighted metrics, weight. All metrics
-    are made in one pass. ``extra`` adds metric names and their aggregate.
+    ``long`` has ``by``, metric, value and, for weighted metrics, weight, for BLEU its ``sums``
+    (a struct, see ``metric_tags``). All metrics are made in one pass. ``extra`` adds metric names
+    and their aggregate. Means have a closed standard error, BLEU and weighted metrics none; that
+    of the others is a bootstrap of ``rounds`` rounds over the rows, if rounds are given.
     """
     of = {**AGGREGATE_OF, **(extra or {})}
     weight = F.col("weight") if "weight" in long.columns else F.lit(None).cast("double")
+    has_sums = "sums" in long.columns
     sums = long.groupBy(*by, "metric").agg(
         F.avg("value").alias("_mean"),
         mean_stderr(F.col("value")).alias("_se"),
         weighted_mean(F.col("value"), weight).alias("_ratio"),
-        F.count("value").alias("n"),
+        F.count(F.coalesce("value", F.col("sums.sys_len").cast("double")) if has_sums else F.col("value")).alias("n"),
+        *[F.sum(f"sums.{c}").alias(c) for c in cm.BLEU_SUMS if has_sums],
     )
 
     def named(kind: str) -> Column:
@@ -404,9 +388,10 @@ def aggregate_results(long: DataFrame, by: list[str], extra: dict[str, str] | No
         .when(named("weighted_mean"), F.col("_ratio"))
         .when(named("weighted_perplexity"), F.exp(-F.col("_ratio")))
         .when(named("bits_per_byte"), -F.col("_ratio") / F.log(F.lit(2.0)))
+        .when(named("bleu"), cm.bleu_score() if has_sums else F.raise_error(F.lit("bleu needs its sums")).cast("double"))
         .otherwise(F.raise_error(F.concat(F.lit("no aggregate for metric "), F.col("metric"))).cast("double"))
     )
-    return sums.select(
+    out = sums.select(
         *by,
         "metric",
         value.alias("value"),
@@ -414,3 +399,10 @@ def aggregate_results(long: DataFrame, by: list[str], extra: dict[str, str] | No
         "n",
         (~F.col("metric").isin(sorted(LOWER_IS_BETTER))).alias("higher_is_better"),
     )
+    drawn = [m for m, a in of.items() if a == "perplexity"]
+    if not rounds or not drawn:
+        return out
+    rows = long.where(F.col("metric").isin(drawn))
+    errors = bootstrap_stderr(rows, [*by, "metric"], perplexity_of("value"), id_col, rounds, seed)
+    both = null_safe_join(out, errors.withColumnRenamed("stderr", "_drawn"), [*by, "metric"], "left")
+    return both.withColumn("stderr", F.coalesce("stderr", "_drawn")).drop("_drawn")

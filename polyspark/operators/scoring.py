@@ -168,7 +168,8 @@ def cached_scores(
     # a run that was repeated may have written a key twice: one row per key counts
     known = spark.read.schema(schema).parquet(cache_path).groupBy("request_key")
     known = known.agg(F.min(F.struct("ll", "is_greedy", "generated")).alias("_r")).select("request_key", "_r.*")
-    scored = unique.select("request_key", "origins").join(known, "request_key")
+    # saved, as a plan with two reads of the cache takes them for one, whatever was added in between
+    scored = saved(unique.select("request_key", "origins").join(known, "request_key"))
     return scatter_back(requests, scored, row_id)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polyspark.functions.hashing import hash_int, hash_unit
+from polyspark.functions.resample import draw_sql, weight_sql
 from polyspark.operators import aggregates as G
 from polyspark.operators import corpus_metrics as CM
 from polyspark.operators import doc_metrics as M
@@ -272,7 +273,7 @@ taken as (select drawn.round, placed.* from drawn join placed using ({keys}, i))
 
 
 def bootstrap_mean(spark, sf):
-    out = G.bootstrap_stderr(_graded(spark, sf), ["lang"], G.mean_of("quality"), "doc_id", ROUNDS)
+    out = G.bootstrap_stderr(_graded(spark, sf), ["lang"], G.mean_of("quality"), "doc_id", ROUNDS, method="index")
     return out.withColumn("stderr", F.round("stderr", 6))
 
 
@@ -284,7 +285,7 @@ select lang, round(stddev_samp(score), 6) as stderr from s group by lang"""
 
 def bootstrap_perplexity(spark, sf):
     rows = _graded(spark, sf).withColumn("ll", -hash_unit(4, F.col("doc_id")))
-    out = G.stderr_for("perplexity", rows, ["lang"], "doc_id", {"value": "ll"}, ROUNDS)
+    out = G.stderr_for("perplexity", rows, ["lang"], "doc_id", {"value": "ll"}, ROUNDS, method="index")
     return out.withColumn("stderr", F.round("stderr", 6))
 
 
@@ -295,7 +296,7 @@ select lang, round(stddev_samp(score), 6) as stderr from s group by lang"""
 
 
 def bootstrap_f1(spark, sf):
-    out = G.stderr_for("f1_score", _graded(spark, sf), ["lang"], "doc_id", {"gold": "quality", "pred": "pred"}, ROUNDS)
+    out = G.stderr_for("f1_score", _graded(spark, sf), ["lang"], "doc_id", {"gold": "quality", "pred": "pred"}, ROUNDS, method="index")
     return out.withColumn("stderr", F.round("stderr", 6))
 
 
@@ -308,7 +309,7 @@ select lang, round(stddev_samp(score), 6) as stderr from s group by lang"""
 
 def bootstrap_matthews(spark, sf):
     columns = {"gold": "lang", "pred": "guess"}
-    out = G.stderr_for("matthews_corrcoef", _graded(spark, sf), ["quality"], "doc_id", columns, ROUNDS)
+    out = G.stderr_for("matthews_corrcoef", _graded(spark, sf), ["quality"], "doc_id", columns, ROUNDS, method="index")
     return out.withColumn("stderr", F.round("stderr", 6))
 
 
@@ -339,10 +340,38 @@ o as (select lang, round, n_chars, row_number() over (partition by lang, round o
 select lang, round(stddev_samp(n_chars), 6) as stderr from o where k = m // 2 group by lang"""
 
 
+def _with_errors(out):
+    return out.withColumn("stderr", F.round("stderr", 6))
+
+
 def bootstrap_chrf(spark, sf):
     one = _parted(spark, sf).withColumn("references", F.array("reference"))
     stats = CM.chrf_stats(one, ["part", *PAIR]).withColumn("id", F.concat_ws("-", *PAIR))
-    return G.stderr_for("chrf", stats, ["part"], "id", {}, ROUNDS)
+    return _with_errors(G.stderr_for("chrf", stats, ["part"], "id", {}, ROUNDS))
+
+
+def weighted_sql(source: str, id_: str, rounds: int, seed: int = 0) -> str:
+    """Rows of ``source`` with their weight ``w`` in every round."""
+    return f"""
+seeded as (select *, {Q.hash_int_sql(str(seed), id_)} as s from {source}),
+drawn as (select *, {draw_sql("s", "round")} as u from seeded, (select unnest(range({rounds})) as round)),
+weighted as (select *, {weight_sql("u")} as w from drawn)"""
+
+
+BOOT_CHRF_SQL = Q.with_sql(Q.PAIRS_SQL, f"""
+t as (select conv_id, turn, {_squeeze_sql("prediction")} as p, {_squeeze_sql("reference")} as r from pairs),
+ns as (select *, unnest([1, 2, 3, 4, 5, 6]) as n from t),
+gp as (select conv_id, turn, n, g, count(*) as c from (select conv_id, turn, n, unnest({gram_sql("p", "n")}) as g from ns) group by all),
+gr as (select conv_id, turn, n, g, count(*) as c from (select conv_id, turn, n, unnest({gram_sql("r", "n")}) as g from ns) group by all),
+h as (select conv_id, turn, n, sum(least(gp.c, gr.c))::DOUBLE as hits from gp join gr using (conv_id, turn, n, g) group by all),
+s as (select conv_id, turn, n, coalesce(hits, 0) as hits, greatest(len(r) - n + 1, 0)::DOUBLE as ref,
+             (case when len(r) >= n then greatest(len(p) - n + 1, 0) else 0 end)::DOUBLE as hyp from ns left join h using (conv_id, turn, n)),
+ids as (select conv_id, turn, concat_ws('-', conv_id, turn) as id from pairs), {weighted_sql("ids", "id", ROUNDS)},
+d as (select conv_id % 4 as part, round, n, sum(w * hits) as hits, sum(w * ref) as ref, sum(w * hyp) as hyp
+      from weighted join s using (conv_id, turn) group by all),
+f as (select part, round, avg(hits / hyp) filter (hyp > 0 and ref > 0) as p, avg(hits / ref) filter (hyp > 0 and ref > 0) as r from d group by all),
+z as (select part, round, case when p + r > 0 then 100 * 5 * p * r / (4 * p + r) else 0 end as score from f)""") + """
+select part, round(stddev_samp(score), 6) as stderr from z group by part"""
 
 
 def bootstrap_ter(spark, sf):
@@ -352,8 +381,49 @@ def bootstrap_ter(spark, sf):
 
 
 def bootstrap_poisson(spark, sf):
-    """The way for large groups: equal rows merged, Poisson draws per round."""
-    return G.bootstrap_stderr(_graded(spark, sf), ["lang"], G.mean_of("quality"), "doc_id", ROUNDS, method="poisson")
+    """Mean per language by row weights."""
+    return _with_errors(G.bootstrap_stderr(_graded(spark, sf), ["lang"], G.mean_of("quality"), "doc_id", ROUNDS))
+
+
+BOOT_POISSON_SQL = f"""
+with {GRADED_SQL}, {weighted_sql("graded", "doc_id", ROUNDS)},
+z as (select lang, round, sum(w * quality)::DOUBLE / nullif(sum(w), 0) as score from weighted group by all)
+select lang, round(stddev_samp(score), 6) as stderr from z group by lang"""
+
+FULL_ROUNDS = 2_000
+
+
+def bootstrap_f1_rounds(spark, sf):
+    """F1 per language over many rounds."""
+    out = G.stderr_for("f1_score", _graded(spark, sf), ["lang"], "doc_id", {"gold": "quality", "pred": "pred"}, FULL_ROUNDS)
+    return _with_errors(out)
+
+
+BOOT_F1_ROUNDS_SQL = f"""
+with {GRADED_SQL}, {weighted_sql("graded", "doc_id", FULL_ROUNDS)},
+z as (select lang, round, coalesce(2.0::DOUBLE * sum(w) filter (quality = 1 and pred = 1)
+             / nullif(coalesce(sum(w) filter (quality = 1), 0) + coalesce(sum(w) filter (pred = 1), 0), 0), 0) as score from weighted group by all)
+select lang, round(stddev_samp(score), 6) as stderr from z group by lang"""
+
+
+def bootstrap_matthews_rounds(spark, sf):
+    """Matthews correlation by row weights summed into confusion cells."""
+    columns = {"gold": "lang", "pred": "guess"}
+    return _with_errors(G.stderr_for("matthews_corrcoef", _graded(spark, sf), ["quality"], "doc_id", columns, ROUNDS))
+
+
+BOOT_MCC_ROUNDS_SQL = f"""
+with {GRADED_SQL}, {weighted_sql("graded", "doc_id", ROUNDS)},
+g as (select quality, round, lang as k, sum(w) as g from weighted group by all),
+p as (select quality, round, guess as k, sum(w) as p from weighted group by all),
+s as (select quality, round, sum(coalesce(g, 0) * coalesce(p, 0)) as gp, sum(coalesce(g, 0) * coalesce(g, 0)) as gg,
+             sum(coalesce(p, 0) * coalesce(p, 0)) as pp, sum(coalesce(g, 0)) as n
+      from g full join p using (quality, round, k) group by all),
+r as (select quality, round, coalesce(sum(w) filter (lang = guess), 0) as c from weighted group by all),
+z as (select quality, round, case when (n * n - gg) * (n * n - pp) > 0
+             then (c * n - gp)::DOUBLE / sqrt((n * n - gg)::DOUBLE * (n * n - pp)::DOUBLE) else 0 end as score
+      from s join r using (quality, round))
+select quality, round(stddev_samp(score), 6) as stderr from z group by quality"""
 
 
 QUERIES = {
@@ -376,7 +446,9 @@ QUERIES = {
     "bootstrap_f1": (bootstrap_f1, BOOT_F1_SQL),
     "bootstrap_matthews": (bootstrap_matthews, BOOT_MCC_SQL),
     "bootstrap_median": (bootstrap_median, BOOT_MEDIAN_SQL),
-    "bootstrap_chrf": (bootstrap_chrf, None),
+    "bootstrap_chrf": (bootstrap_chrf, BOOT_CHRF_SQL),
     "bootstrap_ter": (bootstrap_ter, None),
-    "bootstrap_poisson": (bootstrap_poisson, None),
+    "bootstrap_poisson": (bootstrap_poisson, BOOT_POISSON_SQL),
+    "bootstrap_f1_rounds": (bootstrap_f1_rounds, BOOT_F1_ROUNDS_SQL),
+    "bootstrap_matthews_rounds": (bootstrap_matthews_rounds, BOOT_MCC_ROUNDS_SQL),
 }
