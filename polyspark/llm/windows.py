@@ -4,10 +4,10 @@ A window is ``width`` consecutive bytes or words. Its route is the least hash of
 ``gram``-unit strings in it, so equal windows have equal routes wherever they stand. A segment is
 a run of consecutive windows with one route (cut after ``LONGEST`` windows).
 
-1. Routes are counted, packed per task and bucket; those met once in the corpus cannot hold a
-   repeat. What is left sets bits of a filter of fixed size (``FILTER_BITS``). It only ever lets
+1. The strings that lie around the routes of segments (``_sides``) are counted, packed per task and
+   bucket; a segment whose strings are all met once in the corpus cannot hold a repeat. What is left sets bits of a filter of fixed size (``FILTER_BITS``). It only ever lets
    too much through, so its filling up costs shuffle, never a result.
-2. Segments on repeated routes are folded by content to their first place and number, before the
+2. Segments with repeated strings are folded by content to their first place and number, before the
    shuffle, and grouped by route. A ``find`` function (suffix array or suffix automaton) gives,
    for every window of a segment, the first place of an equal window.
 3. These verdicts are joined back to the places of the segments and become spans of documents.
@@ -48,7 +48,7 @@ class Kind:
     fold_bytes: int  # of a task's text whose segments are folded at once
 
 
-BYTES = Kind(50, 24, words=False, group_bytes=3 << 20, fold_bytes=16 << 20)
+BYTES = Kind(50, 12, words=False, group_bytes=3 << 20, fold_bytes=16 << 20)
 WORDS = Kind(20, 6, words=True, group_bytes=3 << 19, fold_bytes=8 << 20)
 
 
@@ -114,13 +114,28 @@ def runs_of(kind: Kind, hashes: np.ndarray, offs: np.ndarray) -> Runs:
     return Runs(np.searchsorted(offs, start, "right") - 1, start, count, least[start])
 
 
-def _twice(kind: Kind, hashes: np.ndarray, runs: Runs) -> np.ndarray:
-    """Whether a run meets the string that gave its route more than once, so that windows may repeat within it."""
+def _sides(kind: Kind, hashes: np.ndarray, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """The longer strings around each place of a segment's route string: number of the segment, hash.
+
+    A window holds ``width - gram`` units beside its route string, so half of them stand before or
+    after it. Equal windows therefore share the string with that many units before it, or the one
+    with that many after it, around their first route string. Strings that stick out of their
+    segment lie in none of its windows.
+    """
     if not len(runs.start):
-        return np.zeros(0, bool)
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    half = (kind.width - kind.gram) // 2
     lengths = runs.count + kind.width - kind.gram
-    same = hashes[ranges(runs.start, lengths)] == np.repeat(runs.route, lengths)
-    return np.add.reduceat(same, np.cumsum(lengths) - lengths, dtype=np.int64) > 1
+    at = ranges(runs.start, lengths)
+    here = np.flatnonzero(hashes[at] == np.repeat(runs.route, lengths))
+    at, seg = at[here], np.searchsorted(np.cumsum(lengths), here, "right")
+    before = np.flatnonzero(at - half >= runs.start[seg])
+    after = np.flatnonzero(at + half < (runs.start + lengths)[seg])
+    left, right = hashes[at[before]], hashes[at[after]] + U64(1)
+    for step in (half // 2, half):
+        left = mix(hashes[at[before] - step] + left * U64(0x9FB21C651E98DF25))
+        right = mix(hashes[at[after] + step] + right * U64(0x9FB21C651E98DF25))
+    return np.concatenate([seg[before], seg[after]]), np.concatenate([left, right])
 
 
 def _units(kind: Kind, texts: Texts) -> tuple[np.ndarray, np.ndarray, Callable[[Runs], tuple[np.ndarray, np.ndarray, np.ndarray]]]:
@@ -141,12 +156,12 @@ def _units(kind: Kind, texts: Texts) -> tuple[np.ndarray, np.ndarray, Callable[[
     return grams(range_hashes(texts.data, starts, ends), kind.gram), offs, joined
 
 
-def _place(routes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of a route and the 32 bits that stand for it there."""
-    return ((routes >> U64(32)) % U64(buckets)).astype(np.int64), (mix(routes) & U64(0xFFFFFFFF)).astype(np.uint32)
+def _place(sides: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of a string's hash and the 32 bits that stand for it there."""
+    return ((sides >> U64(32)) % U64(buckets)).astype(np.int64), (mix(sides) & U64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def repeated_routes(docs: DataFrame, kind: Kind) -> np.ndarray:
+def repeated_sides(docs: DataFrame, kind: Kind) -> np.ndarray:
     """The filter: bit b * segment + (print mod segment) is set if bucket b met the print twice or more.
 
     The only thing that reaches the driver has ``FILTER_BITS`` bits, whatever the corpus holds.
@@ -157,9 +172,8 @@ def repeated_routes(docs: DataFrame, kind: Kind) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches):
             hashes, offs, _ = _units(kind, texts)
-            runs = runs_of(kind, hashes, offs)
-            routes = np.concatenate([runs.route, runs.route[_twice(kind, hashes, runs)]]) if kind.words else runs.route
-            bucket, prints = _place(routes, buckets)
+            _, sides = _sides(kind, hashes, runs_of(kind, hashes, offs))
+            bucket, prints = _place(sides, buckets)
             if not len(bucket):
                 continue
             both, times = np.unique((bucket.astype(U64) << U64(32)) | prints, return_counts=True)
@@ -192,7 +206,7 @@ def repeated_routes(docs: DataFrame, kind: Kind) -> np.ndarray:
 
 @dataclass
 class Found:
-    """Segments on repeated routes: rows (doc, t1, t2, start, route, name) and, for folding, where their bytes are."""
+    """Segments with repeated strings: rows (doc, t1, t2, start, route, name) and, for folding, where their bytes are."""
 
     doc: np.ndarray
     t1: np.ndarray
@@ -206,14 +220,15 @@ class Found:
 
 
 def _scan(kind: Kind, bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[Found]:
-    """The segments of each slice of rows (doc, t1, t2, text) that stand on repeated routes; starts are in units of their text."""
+    """The segments of each slice of rows (doc, t1, t2, text) that have repeated strings; starts are in units of their text."""
     buckets, segment = bits.shape[0], bits.shape[1] * 8
     for batch, texts in slices(batches):
         hashes, offs, cut = _units(kind, texts)
         runs = runs_of(kind, hashes, offs)
-        bucket, prints = _place(runs.route, buckets)
+        seg, sides = _sides(kind, hashes, runs)
+        bucket, prints = _place(sides, buckets)
         at = prints % np.uint32(segment)
-        hit = np.flatnonzero((bits[bucket, at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1)
+        hit = np.unique(seg[((bits[bucket, at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)])
         if len(hit):
             runs = Runs(runs.doc[hit], runs.start[hit], runs.count[hit], runs.route[hit])
             data, begin, length = cut(runs)
@@ -254,7 +269,7 @@ def _fold(found: list[Found], by_start: bool) -> Iterator[pa.RecordBatch]:
 
 
 def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: bool) -> DataFrame:
-    """Segments on repeated routes, one row per content and about ``fold_bytes`` of a task's text: route, seg, body, doc, start, times.
+    """Segments with repeated strings, one row per content and about ``fold_bytes`` of a task's text: route, seg, body, doc, start, times.
 
     Folding before the shuffle turns a passage that many documents share into one row of each
     stretch of a task. The route and ``seg``, 128 bits in all, name the content.
@@ -277,7 +292,7 @@ def folded_segments(docs: DataFrame, kind: Kind, bits: np.ndarray, by_start: boo
 
 
 def placed_segments(docs: DataFrame, kind: Kind, bits: np.ndarray) -> DataFrame:
-    """All places of the segments on repeated routes: doc, t1, t2, start, route, seg."""
+    """All places of the segments with repeated strings: doc, t1, t2, start, route, seg."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +362,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, find: Find, by_start: bool) -> D
     ``docs`` has the columns of ``row_name``; rows of one name share their spans. Earlier means in a document of smaller id, and with ``by_start`` also at
     a smaller start of the same document.
     """
-    bits = repeated_routes(docs, kind)
+    bits = repeated_sides(docs, kind)
     tidy(docs.sparkSession)
     folded = folded_segments(docs, kind, bits, by_start)
     judged = saved(by_group(folded, "route", lambda table: _judge(table, find, by_start), VERDICTS, group_bytes=kind.group_bytes))

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from polyspark.llm import automaton, html, langid, minhash, mixing, queries, suffixes
+from polyspark.llm import automaton, html, langid, minhash, mixing, queries, suffixes, windows
+from polyspark.llm.text import texts_of
 from test_llm import brute_bytes, brute_words, frame, tuples
 
 SF = "/root/testdata/sf0.01"
@@ -148,3 +149,29 @@ def test_stage_on_awkward_and_empty_tables(spark, name):
         assert len(got) == len(rows)
     empty = stage(spark, docs.where("false"), SF)
     assert empty.columns == docs.columns + added and empty.count() == 0
+
+
+@pytest.mark.parametrize("kind", [windows.BYTES, windows.WORDS], ids=["bytes", "words"])
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefgh"])
+def test_segments_of_equal_windows_share_a_string(kind, letters):
+    rng = random.Random(len(letters))
+    draw = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    shared = [draw(rng.randint(15, 90)) for _ in range(6)]
+    texts = [draw(rng.randint(0, 40)) + rng.choice(shared) + draw(rng.randint(0, 40)) + rng.choice(shared) for _ in range(30)]
+    if kind.words:
+        texts = [" ".join(t) for t in texts]
+    units, offs, cut = windows._units(kind, texts_of(pa.array(texts)))
+    runs = windows.runs_of(kind, units, offs)
+    seg, sides = windows._sides(kind, units, runs)
+    values, times = np.unique(sides, return_counts=True)
+    passed = set(seg[np.isin(sides, values[times > 1])].tolist())
+    seen, repeated = {}, set()
+    for i, (data, b, n) in enumerate(zip([cut(runs)[0]] * len(runs.start), *cut(runs)[1:], strict=True)):
+        held = data[b : b + n].tobytes()
+        held = held.split(b" ") if kind.words else held
+        for w in range(len(held) - kind.width + 1):
+            window = tuple(held[w : w + kind.width])
+            if window in seen:
+                repeated |= {i, seen[window]}
+            seen.setdefault(window, i)
+    assert repeated and repeated <= passed
