@@ -54,12 +54,13 @@ WORDS = Kind(20, 6, words=True, group_bytes=3 << 19, fold_bytes=8 << 20)
 
 @dataclass
 class Runs:
-    """Segments: document, first unit, number of windows, route."""
+    """Segments: document, first unit, number of windows, route; and the least hash of all windows of the texts."""
 
     doc: np.ndarray
     start: np.ndarray
     count: np.ndarray
     route: np.ndarray
+    least: np.ndarray
 
 
 def _byte_grams(data: np.ndarray, k: int) -> np.ndarray:
@@ -88,7 +89,7 @@ def runs_of(kind: Kind, hashes: np.ndarray, offs: np.ndarray) -> Runs:
     n = int(offs[-1]) - kind.width + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return Runs(none, none, none, np.zeros(0, U64))
+        return Runs(none, none, none, np.zeros(0, U64), np.zeros(0, U64))
     least = _sliding_min(hashes, kind.width - kind.gram + 1)
     lengths = np.diff(offs)
     starts = np.repeat(False, n + 1)
@@ -111,7 +112,7 @@ def runs_of(kind: Kind, hashes: np.ndarray, offs: np.ndarray) -> Runs:
     nth = ranges(np.zeros(len(begin), np.int64), pieces)
     start = np.repeat(begin, pieces) + nth * LONGEST
     count = np.minimum(np.repeat(count, pieces) - nth * LONGEST, LONGEST)
-    return Runs(np.searchsorted(offs, start, "right") - 1, start, count, least[start])
+    return Runs(np.searchsorted(offs, start, "right") - 1, start, count, least[start], least)
 
 
 def _sides(kind: Kind, hashes: np.ndarray, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
@@ -125,12 +126,18 @@ def _sides(kind: Kind, hashes: np.ndarray, runs: Runs) -> tuple[np.ndarray, np.n
     if not len(runs.start):
         return np.zeros(0, np.int64), np.zeros(0, U64)
     half = (kind.width - kind.gram) // 2
-    lengths = runs.count + kind.width - kind.gram
-    at = ranges(runs.start, lengths)
-    here = np.flatnonzero(hashes[at] == np.repeat(runs.route, lengths))
-    at, seg = at[here], np.searchsorted(np.cumsum(lengths), here, "right")
+    span = kind.width - kind.gram + 1
+    ends = runs.start + runs.count + span - 1  # of the strings that lie in a segment
+    pad = np.full(span - 1, ~U64(0))
+    most = ~_sliding_min(np.concatenate([pad, ~runs.least, pad]), span)
+    at = np.flatnonzero(hashes == most)  # strings that are the least of some window
+    first = np.searchsorted(ends, at, "right")
+    times = np.searchsorted(runs.start, at, "right") - first
+    at, seg = np.repeat(at, times), ranges(first, times)
+    same = hashes[at] == runs.route[seg]
+    at, seg = at[same], seg[same]
     before = np.flatnonzero(at - half >= runs.start[seg])
-    after = np.flatnonzero(at + half < (runs.start + lengths)[seg])
+    after = np.flatnonzero(at + half < ends[seg])
     left, right = hashes[at[before]], hashes[at[after]] + U64(1)
     for step in (half // 2, half):
         left = mix(hashes[at[before] - step] + left * U64(0x9FB21C651E98DF25))
@@ -230,7 +237,7 @@ def _scan(kind: Kind, bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> It
         at = prints % np.uint32(segment)
         hit = np.unique(seg[((bits[bucket, at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)])
         if len(hit):
-            runs = Runs(runs.doc[hit], runs.start[hit], runs.count[hit], runs.route[hit])
+            runs = Runs(runs.doc[hit], runs.start[hit], runs.count[hit], runs.route[hit], runs.least)
             data, begin, length = cut(runs)
             name = range_hashes(data, begin, begin + length)
             doc, t1, t2 = (batch.column(c).to_numpy()[runs.doc] for c in ("doc", "t1", "t2"))
