@@ -68,17 +68,31 @@ def direct_sort(padded: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> np.nd
     return at
 
 
-def suffix_array(data: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """All suffixes of ``data`` in order of at least their first ``depth`` bytes, by two-stage sorting."""
+def inducing(small: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The wanted suffixes and those they are induced from: after a larger one its successor, up to a smaller one."""
+    at = np.arange(len(small))
+    last = np.concatenate([[-1], np.maximum.accumulate(np.where(small, at, -1))[:-1]])  # smaller suffix before each
+    total = np.concatenate([[0], np.cumsum(wanted)])
+    return total[at + 1] > total[last + 1]
+
+
+def suffix_array(data: np.ndarray, depth: int = DEPTH, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes of ``data`` in order of at least their first ``depth`` bytes, by two-stage sorting.
+
+    All of them, or those that ``wanted`` marks and the few others that these are induced from.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64)
     padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
     small = smaller_suffixes(data)
-    direct = direct_sort(padded, np.flatnonzero(small), depth)
+    needed = np.ones(n, bool) if wanted is None else inducing(small, wanted)
+    large = needed & ~small
+    direct = direct_sort(padded, np.flatnonzero(needed & small), depth)
     cuts = np.searchsorted(data[direct], np.arange(257))
     pending: list[list[np.ndarray]] = [[] for _ in range(256)]
-    pending[data[n - 1]].append(np.array([n - 1]))  # larger than the empty suffix after it
+    if large[n - 1]:
+        pending[data[n - 1]].append(np.array([n - 1]))  # larger than the empty suffix after it
     out = []
     for c in range(256):
         larger = pending[c]
@@ -86,13 +100,13 @@ def suffix_array(data: np.ndarray, depth: int = DEPTH) -> np.ndarray:
         parts = [wave]
         while len(wave):  # runs of byte c: each wave stands one byte before the last
             before = wave[wave > 0] - 1
-            wave = before[(data[before] == c) & ~small[before]]
+            wave = before[(data[before] == c) & large[before]]
             parts.append(wave)
         bucket = np.concatenate([*parts, direct[cuts[c] : cuts[c + 1]]])
         out.append(bucket)
         before = bucket[bucket > 0] - 1
         first = data[before]
-        rest = (first > c) & ~small[before]
+        rest = (first > c) & large[before]
         before, first = before[rest], first[rest]
         order = np.argsort(first, kind="stable")
         before, first = before[order], first[order]
@@ -124,17 +138,17 @@ def agree(padded: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int = DEPTH)
 def find(bodies: pa.Array, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
     """First places of all windows of the segments, from one suffix array over them."""
     texts = texts_of(bodies)
-    array = suffix_array(texts.data)
-    owner = np.searchsorted(texts.offs, array, "right") - 1
-    array = array[array + DEPTH <= texts.offs[owner + 1]]  # suffixes with a whole window in their segment
+    owner = np.repeat(np.arange(len(texts)), np.diff(texts.offs))
+    whole = np.arange(len(texts.data)) + DEPTH <= texts.offs[1:][owner]  # a window starts here and ends in its segment
+    array = suffix_array(texts.data, wanted=whole)
+    array = array[whole[array]]
     padded = np.concatenate([texts.data, np.zeros(DEPTH + 16, np.uint8)])
     joined = np.concatenate([[False], agree(padded, array[:-1], array[1:])])
-    group = np.empty(len(array), np.int64)
-    order = np.argsort(array)
-    group = np.cumsum(~joined)[order]
-    at = array[order]
-    seg = np.searchsorted(texts.offs, at, "right") - 1
-    return verdicts(seg, at - texts.offs[seg], group, doc, start, by_start=False)
+    group = np.empty(len(texts.data), np.int64)
+    group[array] = np.cumsum(~joined)
+    at = np.flatnonzero(whole)
+    seg = owner[at]
+    return verdicts(seg, at - texts.offs[seg], group[at], doc, start, by_start=False)
 
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:

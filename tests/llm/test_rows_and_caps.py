@@ -175,3 +175,15 @@ def test_segments_of_equal_windows_share_a_string(kind, letters):
                 repeated |= {i, seen[window]}
             seen.setdefault(window, i)
     assert repeated and repeated <= passed
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefgh"])
+def test_suffix_array_of_some_suffixes(letters):
+    rng = random.Random(len(letters))
+    for n in (1, 2, 60, 500):
+        text = "".join(rng.choice(letters) for _ in range(n)).encode()
+        data = np.frombuffer(text, np.uint8)
+        wanted = np.array([rng.random() < 0.3 for _ in range(n)])
+        got = [i for i in suffixes.suffix_array(data, wanted=wanted).tolist() if wanted[i]]
+        heads = [text[i : i + suffixes.DEPTH] for i in got]
+        assert heads == sorted(heads) and sorted(got) == np.flatnonzero(wanted).tolist()
