@@ -6,7 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
+from polyspark.functions import expressions as X
 from polyspark.functions.hashing import hash_hex, hash_int
 from polyspark.functions.joins import skew_safe_join
 from polyspark.functions.ranks import position_by, position_by_hash, running_total
@@ -73,7 +75,11 @@ def modes(items: Column) -> Column:
     return F.when(F.size(items) > 0, F.transform(F.filter(counted, lambda c: c["n"] == most), lambda c: c["x"]))
 
 
-FILTERS = {"highlight": highlight, "choice": choose, "most_frequent": modes}
+FILTERS = X.FILTERS | {
+    "highlight": lambda value: X.Value(highlight(value.column), StringType()),
+    "choice": lambda value: X.Value(choose(value.column), value.type.elementType),
+    "most_frequent": lambda value: X.Value(modes(value.column), value.type),
+}
 
 
 def most_frequent(df: DataFrame, keys: list[str], items: str, out: str = "modes") -> DataFrame:
@@ -92,14 +98,7 @@ def most_frequent(df: DataFrame, keys: list[str], items: str, out: str = "modes"
     )
 
 
-def _as_text(df: DataFrame, column: Column, name: str) -> Column:
-    kind = dict(df.dtypes).get(name)
-    if kind == "boolean":
-        column = F.when(column, F.lit("True")).when(~column, F.lit("False"))
-    return F.coalesce(column.cast("string"), F.lit("None"))
-
-
-def _fill(df: DataFrame, text: str, cut: bool, mark: bool = False) -> Column:
+def _fill(names: dict[str, X.Value], text: str, cut: bool, mark: bool = False) -> Column:
     """A piece of template text as a column; data is never split again, so it may hold ``|||``."""
     pieces = re.split(r"\{\{(.*?)\}\}", text)
     parts = []
@@ -107,13 +106,7 @@ def _fill(df: DataFrame, text: str, cut: bool, mark: bool = False) -> Column:
         if i % 2 == 0:
             parts.append(F.lit(piece))
             continue
-        name, *filters = [p.strip() for p in piece.split("|")]
-        if name not in df.columns:
-            raise ValueError(f"the documents have no field {name!r}")
-        value = F.col(name)
-        for f in filters:
-            value = FILTERS[f](value)
-        value = _as_text(df, value, name if not filters else "")
+        value = X.text_of(X.expression(piece, names, FILTERS))
         if cut:
             value = truncate(value)
         parts.append(highlight(value) if mark else value)
@@ -121,11 +114,14 @@ def _fill(df: DataFrame, text: str, cut: bool, mark: bool = False) -> Column:
 
 
 def prompt_columns(df: DataFrame, template: Template, cut: bool = True, mark: bool = False) -> tuple[Column, Column]:
-    """Prompt and target of a template. A template must have exactly one separator."""
+    """Prompt and target of a template, which may use its ``answer_choices``. It must have exactly one separator."""
     parts = template.jinja.split(PART)
     if len(parts) != 2:
         raise ValueError(f"template {template.name!r} must have one {PART}")
-    text, target = (strip(_fill(df, p, cut, mark)) for p in parts)
+    names = X.fields(df)
+    if template.answer_choices is not None:
+        names["answer_choices"] = X.Value(answer_choices(df, template), ArrayType(StringType()))
+    text, target = (strip(_fill(names, p, cut, mark)) for p in parts)
     return text, target
 
 
@@ -133,7 +129,8 @@ def answer_choices(df: DataFrame, template: Template) -> Column:
     """The answer choices of a document, which may use its fields; null without choices."""
     if template.answer_choices is None:
         return F.lit(None).cast("array<string>")
-    return F.array(*[strip(_fill(df, c, cut=False)) for c in template.answer_choices.split(PART)])
+    names = X.fields(df)
+    return F.array(*[strip(_fill(names, c, cut=False)) for c in template.answer_choices.split(PART)])
 
 
 def fixed_choices(template: Template) -> Column:

@@ -163,6 +163,29 @@ select doc_id, lang || '|not ' || lang || '|' || source as choices, null::VARCHA
 from documents"""
 
 
+def prompt_expressions(spark, sf):
+    """A prompt that lists its answer choices and a target that picks one by the document's label."""
+    docs = Q.table(spark, sf, "documents").select(
+        "doc_id", "lang", "source", (F.col("doc_id") % 4).alias("label"), Q.words("source").alias("parts"), (F.col("n_chars") / 8).alias("size")
+    )
+    asks = Q.Template(
+        task="t",
+        name="t",
+        jinja='{{source | upper}} ({{parts | length}}, {{size}}): {{answer_choices | join(", ")}}? not {{answer_choices[-1]}}{{answer_choices[9]}}'
+        " ||| {{answer_choices[label]}} {{parts | first}}",
+        answer_choices="{{lang}} ||| other ||| both",
+    )
+    text, target = P.prompt_columns(docs, asks)
+    return docs.select("doc_id", text.alias("prompt"), target.alias("target"))
+
+
+EXPRESSIONS_SQL = f"""
+with d as (select *, {Q.words_sql("source")} as parts, [lang, 'other', 'both'] as choices from documents)
+select doc_id, upper(source) || ' (' || len(parts) || ', ' || (n_chars / 8)::DOUBLE::VARCHAR || '): ' || lang || ', other, both? not both' as prompt,
+       {Q.strip_sql("coalesce(choices[(doc_id % 4 + 1)::INT], '') || ' ' || parts[1]")} as target
+from d"""
+
+
 def template_filters(spark, sf):
     """The most frequent words of each document, one of its words by hash, and a marked language."""
     docs = Q.table(spark, sf, "documents")
@@ -300,6 +323,7 @@ QUERIES = {
     "read_task": (read_task, READ_TASK_SQL),
     "templates": (templates, TEMPLATES_SQL),
     "assign_doc_ids": (assign_doc_ids, IDS_SQL),
+    "prompt_expressions": (prompt_expressions, EXPRESSIONS_SQL),
     "drop_invalid": (drop_invalid, DROP_SQL),
     "shuffle_limit": (shuffle_limit, SHUFFLE_SQL),
     "shuffle_documents": (shuffle_documents, SHUFFLE_ALL_SQL),

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from polyspark.functions import expressions as X
 from polyspark.functions.hashing import content_key
 from polyspark.functions.text import strip, truncate
 from polyspark.operators import prompts as P
@@ -144,3 +145,40 @@ def test_positions_follow_the_order(spark):
     for g in (0, 1):
         keys = [r["k"] for r in sorted((r for r in rows if r["g"] == g), key=lambda r: r["position"])]
         assert keys == sorted(keys) and len(keys) == 1500
+
+
+def test_expressions_over_choices_and_members(spark):
+    docs = spark.sql(
+        "select 1 as doc_id, 2 as label, named_struct('a', array(1.5D, null)) as s, map('k', true) as m union all "
+        "select 2, null, null, null union all select 3, -3, named_struct('a', array()), map()"
+    )
+    t = Template(
+        task="t",
+        name="e",
+        jinja='{{answer_choices | join(" or ")}}: {{answer_choices[0]}} {{answer_choices | length}} ||| '
+        '<{{answer_choices[label]}}|{{s.a | join(";")}}|{{s["a"][0]}}|{{m.k}}|{{answer_choices | last | upper}}>',
+        answer_choices="x ||| y{{label}} ||| z",
+    )
+    text, target = P.prompt_columns(docs, t)
+    got = docs.select("doc_id", text.alias("p"), target.alias("t")).orderBy("doc_id").collect()
+    assert [r["p"] for r in got] == ["x or y2 or z: x 3", "x or yNone or z: x 3", "x or y-3 or z: x 3"]
+    assert [r["t"] for r in got] == ["<z|1.5;None|1.5|True|Z>", "<||||Z>", "<x||||Z>"]
+
+
+@pytest.mark.parametrize("place", ["answer_choices[s]", "nope", "label | nope", "label +", "label + 1", "s.nope", "label.a", "label[0]", "f(label)"])
+def test_expressions_that_cannot_be_used(spark, place):
+    docs = spark.sql("select 1 as label, named_struct('a', 1) as s")
+    with pytest.raises(ValueError):
+        P.prompt_columns(docs, Template(task="t", name="e", jinja="{{%s}} ||| a" % place, answer_choices="x ||| y"))
+
+
+def test_choices_need_a_template_that_has_them(spark):
+    with pytest.raises(ValueError):
+        P.prompt_columns(spark.range(1), Template(task="t", name="e", jinja="{{answer_choices[0]}} ||| a"))
+
+
+def test_doubles_print_as_in_python(spark):
+    values = [0.0, -0.0, 1.0, -2.5, 1e7, 123456789.125, 1e15, 1.5e16, -1e16, 1e22, 1e100, 1.25e-4, 0.00099, -1e-4, 1e-5, -3.25e-7, 1e-300, 12345678.0, 1e-3]
+    values += [float("inf"), float("-inf"), float("nan")]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(X.double_text(F.col("v")).alias("t")).collect()
+    assert [r["t"] for r in got] == [str(v) for v in values]
