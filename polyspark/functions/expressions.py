@@ -32,22 +32,16 @@ Filter = Callable[..., Value]
 def double_text(column: Column) -> Column:
     """A double in Python's form: shortest digits, an exponent only from 1e16 on and below 1e-4."""
     java = column.cast("string")
-    mantissa, power = F.split_part(java, F.lit("E"), F.lit(1)), F.split_part(java, F.lit("E"), F.lit(2)).try_cast("int")
-    sign = F.when(mantissa.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    short = F.regexp_replace(mantissa, r"\.0$", "")
-    digits = F.regexp_replace(short, r"[-.]", "")
-    size = F.length(digits)
-    whole = F.concat(F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0")), F.lit("."))
-    rest = F.when(size > power + 1, F.substring(digits, power + 2, size)).otherwise(F.lit("0"))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    sized = F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0"))
+    plain = F.regexp_replace(column.cast("decimal(38,21)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    power = F.regexp_replace(F.regexp_replace(java, r"\.0E", "E"), r"E(-?)([0-9])$", "E$10$2")
+    power = F.regexp_replace(F.regexp_replace(power, "E-", "e-"), "E", "e+")
+    named = F.replace(F.lower(java), F.lit("infinity"), F.lit("inf"))
+    size = F.abs(column)
     return (
-        F.when(F.isnan(column), F.lit("nan"))
-        .when(F.abs(column) == float("inf"), F.when(column > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(power.isNull(), java)
-        .when(power.between(0, 15), F.concat(sign, whole, rest))
-        .when(power.between(-4, -1), F.concat(sign, small))
-        .otherwise(F.concat(short, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), sized))
+        F.when(F.isnan(column) | (size == float("inf")), named)
+        .when(~java.contains("E"), java)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(power)
     )
 
 
@@ -72,8 +66,9 @@ def item(value: Value, index: Column) -> Value:
     """An element counted from 0, or from the end if negative; an index outside the list finds nothing."""
     kind = _array(value, "an index")
     index = index.cast("int")
-    outside = index.isNull() | value.column.isNull() | (index >= F.size(value.column)) | (index < -F.size(value.column))
-    found = F.try_element_at(value.column, F.when(index < 0, index).otherwise(index + 1))
+    size = F.size(value.column)
+    outside = index.isNull() | value.column.isNull() | (index >= size) | (index < -size)
+    found = F.get(value.column, F.when(index < 0, index + size).otherwise(index))
     return Value(found, kind.elementType, outside if value.missing is None else value.missing | outside)
 
 
