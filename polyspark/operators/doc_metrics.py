@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -124,27 +125,66 @@ def _codes(tokens_a: list[str], tokens_b: list[str]) -> tuple[np.ndarray, np.nda
     return tuple(np.array([ids.setdefault(t, len(ids)) for t in side], dtype=np.int64) for side in (tokens_a, tokens_b))
 
 
-def lcs_table(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Lengths of the longest common subsequences of all prefixes."""
-    table = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int32)
-    for i, token in enumerate(a):
-        above = table[i]
-        table[i + 1, 1:] = np.maximum.accumulate(np.where(b == token, above[:-1] + 1, above[1:]))
-    return table
+class LcsRows:
+    """Rows of the table of common subsequence lengths of all prefixes, each as the bits of one integer.
 
+    Along a row the length rises by one or stays; bit j is set if it stays at token j of ``b``. A row follows from the
+    one before by a few operations on integers. Every ``stride``-th row is kept and those between are made again when
+    asked for, so a pair of n and m tokens takes about 2 m sqrt(n) bits, not n m numbers.
+    """
 
-def lcs_positions(a: np.ndarray, b: np.ndarray) -> set[int]:
-    """Positions of ``a`` in one longest common subsequence with ``b``."""
-    table = lcs_table(a, b)
+    def __init__(self, a, b) -> None:
+        self.a, self.full = a, (1 << len(b)) - 1
+        self.where: dict = {}
+        for j, token in enumerate(b):
+            self.where[token] = self.where.get(token, 0) | (1 << j)
+        self.stride = math.isqrt(len(a)) + 1
+        self.kept = [self.full]
+        self.last = self.full
+        for i, token in enumerate(a, 1):
+            self.last = self._next(self.last, token)
+            if i % self.stride == 0:
+                self.kept.append(self.last)
+        self.block, self.rows = -1, []
+
+    def _next(self, row: int, token) -> int:
+        taken = row & self.where.get(token, 0)
+        return ((row + taken) | (row - taken)) & self.full
+
+    def row(self, i: int) -> int:
+        """The row after ``i`` tokens of ``a``; cheap if asked for in falling order."""
+        block, at = divmod(i, self.stride)
+        if block != self.block:
+            self.block, self.rows = block, [self.kept[block]]
+            for token in self.a[block * self.stride : (block + 1) * self.stride - 1]:
+                self.rows.append(self._next(self.rows[-1], token))
+        return self.rows[at]
+
+
+def _rises(row: int, j: int) -> int:
+    """The length a row stands for after ``j`` tokens."""
+    return j - (row & ((1 << j) - 1)).bit_count()
+
+
+def lcs_length(a, b) -> int:
+    return _rises(LcsRows(a, b).last, len(b))
+
+
+def lcs_positions(a, b) -> set[int]:
+    """Positions of ``a`` in one longest common subsequence with ``b``; ties go to the later token of ``b``."""
+    table = LcsRows(a, b)
     i, j, found = len(a), len(b), set()
+    here, above = table.last, table.row(i - 1) if i else 0
     while i and j:
-        if a[i - 1] == b[j - 1]:
+        match = a[i - 1] == b[j - 1]
+        if match:
             found.add(i - 1)
-            i, j = i - 1, j - 1
-        elif table[i, j - 1] > table[i - 1, j]:
             j -= 1
-        else:
-            i -= 1
+        elif _rises(here, j - 1) > _rises(above, j):
+            j -= 1
+            continue
+        i -= 1
+        here, above = above, table.row(i - 1) if i else 0
     return found
 
 
@@ -157,8 +197,7 @@ def _scores(hits: int, n_ref: int, n_pred: int) -> tuple[float, float, float]:
 
 def rouge_l_pair(ref: list[str], pred: list[str]) -> tuple[float, float, float]:
     a, b = _codes(ref, pred)
-    hits = int(lcs_table(a, b)[-1, -1]) if ref and pred else 0
-    return _scores(hits, len(ref), len(pred))
+    return _scores(lcs_length(a.tolist(), b.tolist()), len(ref), len(pred))
 
 
 def rouge_lsum_pair(ref: list[list[str]], pred: list[list[str]]) -> tuple[float, float, float]:
@@ -167,7 +206,7 @@ def rouge_lsum_pair(ref: list[list[str]], pred: list[list[str]]) -> tuple[float,
     if not flat_ref or not flat_pred:
         return 0.0, 0.0, 0.0
     a, b = _codes(flat_ref, flat_pred)
-    cut = lambda codes, sents: np.split(codes, np.cumsum([len(s) for s in sents])[:-1])
+    cut = lambda codes, sents: [part.tolist() for part in np.split(codes, np.cumsum([len(s) for s in sents])[:-1])]
     left_ref = np.bincount(a, minlength=len(a) + len(b))
     left_pred = np.bincount(b, minlength=len(a) + len(b))
     hits = 0

@@ -75,6 +75,38 @@ def rouge_l(spark, sf):
     )
 
 
+def rouge_l_plain(spark, sf):
+    """ROUGE-L without stems of each reply against its reference and against the turn before it."""
+    pairs = Q.generation_pairs(spark, sf).select(*PAIR, "prediction", F.posexplode("references").alias("ref_idx", "reference"))
+    scores = M.rouge_l(pairs, [*PAIR, "ref_idx"], stemmed=False)
+    return scores.select(
+        *PAIR, F.col("ref_idx").cast("bigint").alias("ref_idx"), *[F.round(f"rougeL.{f}", 6).alias(f) for f in FIGURES]
+    )
+
+
+# A row of the table holds the subsequence lengths after each word of the prediction; one round is one reference word.
+ROUGE_L_SQL = Q.with_sql(
+    Q.PAIRS_SQL,
+    f"""
+tok as (select conv_id, turn, i as ref_idx, {rouge_tokens_sql("refs[i + 1]")} as r, {rouge_tokens_sql("prediction")} as p
+        from pairs, (select unnest([0, 1]) as i)),
+step as (
+  select conv_id, turn, ref_idx, r, p, 0 as word, list_transform(range(0, len(p)), lambda j: 0) as lengths from tok
+  union all
+  select conv_id, turn, ref_idx, r, p, word + 1,
+         list_transform(range(1, len(p) + 1), lambda j: list_max(kept[1:j]))
+  from (select *, list_transform(range(1, len(p) + 1), lambda j:
+                    case when p[j] = r[word + 1] then coalesce(lengths[j - 1], 0) + 1 else lengths[j] end) as kept
+        from step where word < len(r))),
+pr as (select conv_id, turn, ref_idx, coalesce(lengths[len(p)], 0)::DOUBLE / greatest(len(p), 1) as precision,
+              coalesce(lengths[len(p)], 0)::DOUBLE / greatest(len(r), 1) as recall
+       from step where word = len(r))""",
+).replace("with ", "with recursive ", 1) + """
+select conv_id, turn, ref_idx::BIGINT as ref_idx, round(precision, 6) as precision, round(recall, 6) as recall,
+       round(case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end, 6) as fmeasure
+from pr"""
+
+
 def rouge_all(spark, sf):
     """The twelve stemmed figures, against the reference and the source as two references."""
     return M.rouge(Q.generation_pairs(spark, sf), PAIR)
@@ -211,6 +243,7 @@ QUERIES = {
     "pick_choice": (pick_choice, PICK_SQL),
     "rouge_n": (rouge_n, ROUGE_SQL),
     "rouge_l": (rouge_l, None),
+    "rouge_l_plain": (rouge_l_plain, ROUGE_L_SQL),
     "rouge_all": (rouge_all, None),
     "rouge_multi_ref": (rouge_multi_ref, MULTI_SQL),
     "max_over_refs": (max_over_refs, MAX_SQL),

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -48,6 +49,41 @@ def test_rouge_l_against_a_plain_table(spark):
         assert got[i]["precision"] == pytest.approx(lcs(r, p) / len(p) if r and p else 0)
 
 
+def lcs_positions(a, b):
+    """Positions of ``a`` found by walking back through the whole table."""
+    t = [[lcs(a[:i], b[:j]) for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    i, j, found = len(a), len(b), set()
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            found.add(i - 1)
+            i, j = i - 1, j - 1
+        elif t[i][j - 1] > t[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return found
+
+
+def test_rows_of_bits_walk_back_like_the_whole_table():
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ([rng.randrange(4) for _ in range(rng.randint(0, 11))] for _ in range(2))
+        assert M.lcs_length(a, b) == lcs(a, b)
+        assert M.lcs_positions(a, b) == lcs_positions(a, b)
+
+
+def test_common_subsequence_of_very_long_texts_in_little_memory():
+    rng = random.Random(4)
+    a = [rng.randrange(50) for _ in range(20_000)]
+    b = [t for t in a if rng.random() < 0.9]
+    tracemalloc.start()
+    found = M.lcs_positions(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == len(b) == M.lcs_length(a, b)
+    assert peak < 16 << 20  # a table of numbers would take 1.4 GB
+
+
 def test_rouge_lsum_joins_sentences(spark):
     rows = [("w1 w2 w3 w4 w5", "w1 w2 w6 w7 w8. w1 w3 w8 w9 w5"), ("a b. c d", "c d. a b"), ("", "a")]
     got = {r["id"]: r for r in M.rouge_l(pair_df(spark, rows), ["id"]).collect()}
