@@ -18,7 +18,17 @@ from polyspark.queries.prompts import SPLIT_SQL, split_docs
 from polyspark.session import checkpoint_dir
 from polyspark.sources.corpus import with_script
 from polyspark.sources.sinks import flatten_struct as flatten
-from polyspark.sources.sinks import lang_of_path, materialize, run_key, slim_results, stage_key, write_results
+from polyspark.sources.sinks import (
+    lang_of_path,
+    materialize,
+    publish_run,
+    published_runs,
+    read_run,
+    run_key,
+    slim_results,
+    stage_key,
+    write_results,
+)
 from polyspark.sources.templates import templates_table
 
 
@@ -292,6 +302,33 @@ union all
 select lang, count(*)::BIGINT, round(sum((pred = target)::INT), 6), 'examples' from picked group by lang"""
 
 
+def run_manifests(spark, sf):
+    """Two published runs, read back with their configuration and versions; a third was cut off and does not show."""
+    out = f"{checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+    picked = materialize(picked_docs(spark, sf, 0), f"{out}/{stage_key('dummy', 'langid', 4)}")
+    results = G.aggregate_results(M.long_metrics(picked, [*P.BY, "doc_id"], ["acc", "acc_norm"]), P.BY)
+    for run, part in {"accuracy": results.where("metric = 'acc'"), "whole": results}.items():
+        publish_run(part, picked, out, run, {"model": "dummy", "shots": 0}, {Q.LANGID.task: 1})
+    write_results(results, picked, f"{out}/cut")
+    runs = published_runs(spark, out)
+    read = [read_run(spark, out, r["run"]).withColumn("run", F.lit(r["run"])) for r in runs.select("run").collect()]
+    rows = read[0]
+    for part in read[1:]:
+        rows = rows.unionByName(part)
+    return rows.join(F.broadcast(runs), "run").select(
+        "run", "task", "lang", "metric", F.round("value", 6).alias("value"),
+        F.col("config")["model"].alias("model"), F.col("config")["shots"].alias("shots"),
+        F.col("versions")[F.col("task")].alias("version"), "result_rows", "example_rows",
+    )
+
+
+MANIFESTS_SQL = Q.ZERO_SHOT_SQL.rstrip() + "," + RESULTS_SQL + """,
+runs as (select *, 'whole' as run from res union all select *, 'accuracy' from res where metric = 'acc')
+select run, task, lang, metric, round(value, 6) as value, 'dummy' as model, '0' as shots, '1' as version,
+       count(*) over (partition by run)::BIGINT as result_rows, (select count(*) from picked)::BIGINT as example_rows
+from runs"""
+
+
 def flatten_struct(spark, sf):
     docs = Q.table(spark, sf, "documents")
     sizes = F.struct(F.col("n_chars").alias("chars"), F.struct(count_words(F.col("text")).alias("spaces")).alias("words"))
@@ -318,5 +355,6 @@ QUERIES = {
     "language_filter": (language_filter, FILTER_SQL),
     "run_keys": (run_keys, RUN_SQL),
     "written_results": (written_results, WRITTEN_SQL),
+    "run_manifests": (run_manifests, MANIFESTS_SQL),
     "flatten_struct": (flatten_struct, FLATTEN_SQL),
 }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -67,6 +70,62 @@ def write_results(
     return folders
 
 
+MANIFEST = (
+    "run string, config map<string,string>, versions map<string,string>, "
+    "result_rows bigint, example_rows bigint, schemas map<string,string>"
+)
+
+
+def publish_run(
+    results: DataFrame,
+    examples: DataFrame,
+    out: str,
+    run: str,
+    config: dict[str, object],
+    versions: dict[str, object],
+    by: tuple[str, ...] = ("task", "lang"),
+) -> str:
+    """Writes the files of a run to ``out/run``, and last its manifest: configuration, versions, rows, columns.
+
+    Readers go by finished manifests, so they see all of a run or nothing. A run that was cut off is written anew; a
+    published one is an error, so that files never change under a reader. Rows are counted in the written files,
+    as counts taken on the way would be wrong if a lost executor's work is repeated.
+    """
+    spark, folder = results.sparkSession, f"{out}/{run}"
+    if path_exists(spark, f"{folder}/manifest/_SUCCESS"):
+        raise FileExistsError(f"the run is published already: {folder}")
+    files = write_results(results, examples, folder, by)
+    rows = {kind: spark.read.text(files[kind]).count() for kind in ("agg", "examples")}
+    columns = {"agg": results, "slim": slim_results(results), "examples": examples}
+    as_text = lambda values: {k: v if isinstance(v, str) else json.dumps(v, sort_keys=True) for k, v in values.items()}
+    manifest = (
+        run, as_text(config), as_text(versions), rows["agg"], rows["examples"],
+        {kind: df.schema.json() for kind, df in columns.items()},
+    )
+    spark.createDataFrame([manifest], MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest")
+    return folder
+
+
+def published_runs(spark: SparkSession, out: str) -> DataFrame:
+    """The manifests of all published runs in a folder; empty if there is none."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/*/manifest/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    folders = sorted(f.getPath().getParent().toString() for f in found or ())
+    if not folders:
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(*folders)
+
+
+def read_run(spark: SparkSession, out: str, run: str, kind: str = "agg") -> DataFrame:
+    """The agg, slim or examples table of a published run, with the types it was written from."""
+    folder = f"{out}/{run}"
+    if not path_exists(spark, f"{folder}/manifest/_SUCCESS"):
+        raise FileNotFoundError(f"no published run: {folder}")
+    schemas = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").first()["schemas"]
+    schema = T.StructType.fromJson(json.loads(schemas[kind]))
+    return spark.read.schema(schema).json(f"{folder}/{kind}").select(*schema.names)
+
+
 def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
     """Nested struct fields as top-level columns named by their path."""
 

@@ -6,7 +6,17 @@ from pyspark.sql import functions as F
 
 from polyspark.operators import corpus as C
 from polyspark.sources.corpus import read_corpus, read_lang_list
-from polyspark.sources.sinks import flatten_struct, lang_of_path, materialize, run_key, stage_key
+from polyspark.sources.sinks import (
+    flatten_struct,
+    lang_of_path,
+    materialize,
+    publish_run,
+    published_runs,
+    read_run,
+    run_key,
+    stage_key,
+    write_results,
+)
 from polyspark.sources.tasks import eval_docs, fewshot_docs, read_task
 
 
@@ -106,3 +116,29 @@ def test_run_key_and_flatten(spark):
     assert df.select(key).first()[0] == "limited=3.model=a-b.lang=deu_Latn"
     nested = df.select(F.struct("m", F.struct("k").alias("in")).alias("out"), "t")
     assert flatten_struct(nested).columns == ["out_m", "out_in_k", "t"]
+
+
+def test_a_run_is_seen_once_its_manifest_is_there(spark, tmp_path):
+    out = str(tmp_path)
+    assert published_runs(spark, out).count() == 0
+    results = spark.createDataFrame(
+        [("t", "de", "acc", 0.5, "{{x}}"), ("t", None, "acc", float("nan"), None)],
+        "task string, lang string, metric string, value double, prompt_jinja string",
+    )
+    examples = spark.createDataFrame([("t", "de", 1), ("t", "de", 2), ("t", None, 3)], "task string, lang string, doc_id int")
+    write_results(results, examples, f"{out}/a")  # cut off before its manifest
+    assert published_runs(spark, out).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_run(spark, out, "a")
+    publish_run(results.limit(1), examples, out, "a", {"model": "m", "limit": None, "shots": [0, 3]}, {"t": 2})
+    run = published_runs(spark, out).first()
+    assert (run["run"], run["result_rows"], run["example_rows"]) == ("a", 1, 3)
+    assert run["config"] == {"model": "m", "limit": "null", "shots": "[0, 3]"} and run["versions"] == {"t": "2"}
+    with pytest.raises(FileExistsError):
+        publish_run(results, examples, out, "a", {}, {})
+    publish_run(results, examples.limit(0), out, "b", {}, {})
+    back = {r["lang"]: r for r in read_run(spark, out, "b").collect()}
+    assert back["de"]["value"] == 0.5 and back["de"]["prompt_jinja"] == "{{x}}" and back[None]["value"] != back[None]["value"]
+    assert read_run(spark, out, "b", "slim").columns == ["task", "lang", "metric", "value"]
+    assert read_run(spark, out, "a", "examples").dtypes == examples.dtypes
+    assert read_run(spark, out, "b", "examples").count() == 0
