@@ -161,45 +161,64 @@ MAX_SHIFT_DISTANCE = 50
 MAX_SHIFT_CANDIDATES = 1000
 
 
-def _edit_path(hyp: list[str], ref: list[str]) -> tuple[int, str]:
-    """Word edits from ``hyp`` to ``ref`` and their path: ``=`` same, ``s`` swap, ``d`` drop from hyp, ``i`` insert."""
-    rows = [[(j, "i") for j in range(len(ref) + 1)]]
-    for i, word in enumerate(hyp, 1):
-        row = [(i, "d")]
-        for j, other in enumerate(ref, 1):
-            same = word == other
-            row.append(
-                min(
-                    (rows[i - 1][j - 1][0] + (not same), 0, "=" if same else "s"),
-                    (rows[i - 1][j][0] + 1, 1, "d"),
-                    (row[j - 1][0] + 1, 2, "i"),
-                )[::2]
-            )
-        rows.append(row)
-    path, i, j = [], len(hyp), len(ref)
-    while i or j:
-        step = rows[i][j][1] if i and j else ("d" if i else "i")
-        path.append(step)
-        i, j = i - (step != "i"), j - (step != "d")
-    return rows[-1][-1][0], "".join(reversed(path))
-
-
-def _edit_distance(hyp: list[str], ref: list[str]) -> int:
-    """Word edits between two lists; a column of the table is kept as the bits of two integers."""
-    full, top = (1 << len(ref)) - 1, 1 << (len(ref) - 1)
-    where: dict[str, int] = {}
-    for j, word in enumerate(ref):
-        where[word] = where.get(word, 0) | (1 << j)
-    up, down, distance = full, 0, len(ref)
-    for word in hyp:
-        same = where.get(word, 0)
+class EditRows:
+    """Rows of the table of word edits from prefixes of ``hyp`` to prefixes of ``ref``, as bits of two integers.
+
+    Along a row the number of edits rises by one (a bit of the first), falls by one (a bit of the second) or stays; the
+    row after i words of ``hyp`` begins with i edits.
+    """
+
+    def __init__(self, hyp: list[str], ref: list[str]) -> None:
+        self.hyp, self.ref, self.full = hyp, ref, (1 << len(ref)) - 1
+        self.where: dict[str, int] = {}
+        for j, word in enumerate(ref):
+            self.where[word] = self.where.get(word, 0) | (1 << j)
+        self.rows = [(self.full, 0)]
+        for word in hyp:
+            self.rows.append(self._next(self.rows[-1], word))
+        self.edits = self._value(self.rows[-1], len(hyp), len(ref))
+
+    def _next(self, row: tuple[int, int], word: str) -> tuple[int, int]:
+        up, down = row
+        same = self.where.get(word, 0)
         vertical = same | down
         horizontal = (((same & up) + up) ^ up) | same
-        rise, fall = down | (full & ~(horizontal | up)), up & horizontal
-        distance += bool(rise & top) - bool(fall & top)
+        rise, fall = down | (self.full & ~(horizontal | up)), up & horizontal
         rise, fall = (rise << 1) | 1, fall << 1
-        up, down = (fall | ~(vertical | rise)) & full, rise & vertical & full
-    return distance
+        return (fall | ~(vertical | rise)) & self.full, rise & vertical & self.full
+
+    @staticmethod
+    def _value(row: tuple[int, int], i: int, j: int) -> int:
+        mask = (1 << j) - 1
+        return i + (row[0] & mask).bit_count() - (row[1] & mask).bit_count()
+
+    def path(self) -> str:
+        """The edits in order: ``=`` same, ``s`` swap, ``d`` drop from hyp, ``i`` insert; on a tie in that order."""
+        path, i, j, left = [], len(self.hyp), len(self.ref), self.edits
+        while i and j:
+            same = self.hyp[i - 1] == self.ref[j - 1]
+            if self._value(self.rows[i - 1], i - 1, j - 1) + (not same) == left:
+                path.append("=" if same else "s")
+                i, j, left = i - 1, j - 1, left - (not same)
+            elif self._value(self.rows[i - 1], i - 1, j) + 1 == left:
+                path.append("d")
+                i, left = i - 1, left - 1
+            else:
+                path.append("i")
+                j, left = j - 1, left - 1
+        return "i" * j + "d" * i + "".join(reversed(path))
+
+    def edits_of(self, moved: list[str], low: int, high: int) -> int:
+        """Edits of a list that differs from ``hyp`` between ``low`` and ``high`` only.
+
+        Rows before are known, and once a row after equals that of ``hyp`` all later ones do.
+        """
+        row = self.rows[low]
+        for i in range(low, len(moved)):
+            if i >= high and row == self.rows[i]:
+                return self.edits
+            row = self._next(row, moved[i])
+        return self._value(row, len(moved), len(self.ref))
 
 
 def _alignment(path: str) -> tuple[list[int], list[bool], list[bool]]:
@@ -215,9 +234,10 @@ def _alignment(path: str) -> tuple[list[int], list[bool], list[bool]]:
     return at, hyp_wrong, ref_wrong
 
 
-def _best_shift(hyp: list[str], ref: list[str], edits: int, path: str, tried: int):
+def _best_shift(table: EditRows, tried: int):
     """The block move that saves most edits; ties: longer block, then earlier source and target."""
-    at, hyp_wrong, ref_wrong = _alignment(path)
+    hyp, ref = table.hyp, table.ref
+    at, hyp_wrong, ref_wrong = _alignment(table.path())
     starts: dict[str, list[int]] = {}
     for j, word in enumerate(ref):
         starts.setdefault(word, []).append(j)
@@ -238,7 +258,7 @@ def _best_shift(hyp: list[str], ref: list[str], edits: int, path: str, tried: in
                     block, rest = hyp[i : i + size], hyp[:i] + hyp[i + size :]
                     place = to if to < i else to - size
                     moved = rest[:place] + block + rest[place:]
-                    saved = edits - _edit_distance(moved, ref)
+                    saved = table.edits - table.edits_of(moved, min(i, place), max(i, place) + size)
                     candidate = (saved, size, -i, -to, moved)
                     best = max(best, candidate) if best else candidate
                     tried += 1
@@ -252,15 +272,14 @@ def ter_edits(hyp: list[str], ref: list[str]) -> int:
     if not ref:
         return len(hyp)
     shifts, tried = 0, 0
-    edits, path = _edit_path(hyp, ref)
+    table = EditRows(hyp, ref)
     while tried < MAX_SHIFT_CANDIDATES:
-        best, tried = _best_shift(hyp, ref, edits, path, tried)
+        best, tried = _best_shift(table, tried)
         if best is None or best[0] <= 0:
             break
         shifts += 1
-        hyp = best[4]
-        edits, path = _edit_path(hyp, ref)
-    return shifts + edits
+        table = EditRows(best[4], ref)
+    return shifts + table.edits
 
 
 TER_PAIR = T.StructType([T.StructField(c, T.DoubleType()) for c in ("edits", "ref_len")])

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import tracemalloc
 from collections import Counter
 
@@ -254,12 +255,47 @@ def plain_edits(a, b):
     return row[-1]
 
 
-def test_edit_distance_of_bits_equals_table():
+def plain_path(a, b):
+    """Edits walked back from the end: same or swap first, then drop, then insert."""
+    cost = lambda i, j: plain_edits(a[:i], b[:j])
+    i, j, path = len(a), len(b), ""
+    while i or j:
+        if i and j and cost(i - 1, j - 1) + (a[i - 1] != b[j - 1]) == cost(i, j):
+            i, j, path = i - 1, j - 1, ("=" if a[i - 1] == b[j - 1] else "s") + path
+        elif i and cost(i - 1, j) + 1 == cost(i, j):
+            i, path = i - 1, "d" + path
+        else:
+            j, path = j - 1, "i" + path
+    return path
+
+
+def test_edit_rows_of_bits_equal_the_table():
     rng = random.Random(2)
-    for _ in range(300):
+    for _ in range(150):
         a, b = ([rng.choice("abc") for _ in range(rng.randint(0, 9))] for _ in range(2))
-        if b:
-            assert CM._edit_distance(a, b) == plain_edits(a, b) == CM._edit_path(a, b)[0]
+        rows = CM.EditRows(a, b)
+        assert rows.edits == plain_edits(a, b)
+        assert rows.path() == plain_path(a, b)
+        if a:
+            low, high = sorted((rng.randrange(len(a) + 1), rng.randrange(len(a) + 1)))
+            moved = a[:low] + rng.sample(a[low:high], high - low) + a[high:]
+            assert rows.edits_of(moved, low, high) == plain_edits(moved, b)
+
+
+def test_ter_of_a_long_pair_is_quick():
+    rng = random.Random(1)
+    ref = [f"w{rng.randrange(3000)}" for _ in range(1500)]
+    hyp = [w for w in ref if rng.random() < 0.9]
+    hyp[30:30] = hyp[40:46]
+    del hyp[46:52]
+    tracemalloc.start()
+    assert CM.ter_edits(hyp, ref) < CM.EditRows(hyp, ref).edits
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20  # a table of Python pairs would take over 100 MB
+    began = time.perf_counter()
+    CM.ter_edits(hyp, ref)
+    assert time.perf_counter() - began < 5
 
 
 def test_ter_counts_a_moved_block_once(spark):
