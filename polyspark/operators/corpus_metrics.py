@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polyspark.functions.text import char_ngrams, ngrams, tokens_13a, words
+from polyspark.functions.text import tokens_13a, words
 from polyspark.operators.doc_metrics import gram_counts
 
 # N-gram orders and weights of the published metrics.
@@ -17,29 +17,6 @@ CHRF_BETA = 2
 LOG_OF_ZERO = -9999999999.0
 
 
-def _side(grams: Column, n: int, side: Column) -> Column:
-    return F.transform(grams, lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), side.cast("int").alias("side")))
-
-
-def _ref_sides(refs: str, n: int) -> Column:
-    return F.flatten(F.transform(refs, lambda r, i: _side(ngrams(r, n), n, i)))
-
-
-def _gram_sides(tokens: DataFrame, keys: list[str], pred: Column, refs: str, orders: list[int]) -> DataFrame:
-    """Counts of each n-gram in the prediction (side -1) and in each reference (side 0, 1, ...).
-
-    The pairs are shuffled once, as tokens, and counted where they are. A null gram of
-    side -2 keeps pairs without n-grams.
-    """
-    empty = F.struct(F.lit(1).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(-2).alias("side"))
-    parts = [F.array(empty)]
-    for n in orders:
-        parts.append(_side(ngrams(pred, n), n, F.lit(-1)))
-        parts.append(_ref_sides(refs, n))
-    flat = tokens.repartition(*keys).select(*keys, F.inline(F.concat(*parts)))
-    return flat.groupBy(*keys, "n", "gram", "side").agg(F.count(F.lit(1)).alias("c"))
-
-
 def bleu_stats(
     pairs: DataFrame,
     keys: list[str],
@@ -61,16 +38,9 @@ def bleu_stats(
     # the lengths ride along as keys, so that no join is needed
     sized = tokens.withColumns({"sys_len": size.cast("bigint"), "ref_len": closest.cast("bigint")})
     pair = [*keys, "sys_len", "ref_len"]
-    per_gram = (
-        _gram_sides(sized, pair, F.col("_p"), "_r", BLEU_ORDERS)
-        .groupBy(*pair, "n", "gram")
-        .agg(
-            F.sum(F.when(F.col("side") == -1, F.col("c")).otherwise(0)).alias("p"),
-            F.max(F.when(F.col("side") >= 0, F.col("c")).otherwise(0)).alias("r"),
-        )
-    )
-    of = lambda n, c: F.sum(F.when(F.col("n") == n, c).otherwise(0))
-    return per_gram.groupBy(*pair).agg(
+    counts = gram_counts(sized, pair, {"p": F.array("_p"), "r": F.col("_r")}, BLEU_ORDERS, best=["r"])
+    of = lambda n, c: F.sum(F.when(F.col("n") == n, c * F.col("grams")).otherwise(0))
+    return counts.groupBy(*pair).agg(
         *[of(n, F.least("p", "r")).alias(f"correct_{n}") for n in BLEU_ORDERS],
         *[of(n, F.col("p")).alias(f"total_{n}") for n in BLEU_ORDERS],
     )
@@ -116,9 +86,8 @@ def chrf_stats(pairs: DataFrame, keys: list[str], pred: str = "prediction", refs
     one = pairs.select(*keys, F.col(pred).alias("_pred"), F.posexplode(refs).alias("ref_idx", "_one"))
     per_ref = [*keys, "ref_idx"]
     tokens = one.select(*per_ref, squeezed(F.col("_pred")).alias("_p"), squeezed(F.col("_one")).alias("_r"))
-    sides = {"p": lambda n: char_ngrams(F.col("_p"), n), "r": lambda n: char_ngrams(F.col("_r"), n)}
-    counts = gram_counts(tokens, per_ref, sides, CHRF_ORDERS)
-    of = lambda n, c: F.sum(F.when(F.col("n") == n, c).otherwise(0))
+    counts = gram_counts(tokens, per_ref, {"p": F.array("_p"), "r": F.array("_r")}, CHRF_ORDERS, chars=True)
+    of = lambda n, c: F.sum(F.when(F.col("n") == n, c * F.col("grams")).otherwise(0))
     sums = counts.groupBy(*per_ref).agg(
         *[of(n, F.col("p")).alias(f"_hyp_{n}") for n in CHRF_ORDERS],
         *[of(n, F.col("r")).alias(f"ref_{n}") for n in CHRF_ORDERS],

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from polyspark.functions.stem import stem
-from polyspark.functions.text import count_bytes, count_words, ngrams, rouge_tokens
+from polyspark.functions.text import char_ngrams, count_bytes, count_words, ngrams, rouge_tokens
 
 # --- ranked choice --------------------------------------------------------------------------
 
@@ -59,28 +63,91 @@ def _f_measure(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
-def _tagged(grams: Column, n: int, side: int) -> Column:
-    return F.transform(grams, lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(side).alias("side")))
+def _tagged(side: Column, n: int, number: int, chars: bool) -> Column:
+    """The n-grams of a side, each with the side's number and its sequence's place there."""
+    grams = lambda s: char_ngrams(s, n) if chars else ngrams(s, n)
+    row = lambda g, place: F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(number).alias("_side"), place.cast("int").alias("_place"))
+    return F.flatten(F.transform(side, lambda s, place: F.transform(grams(s), lambda g: row(g, place))))
+
+
+def _spelled(side: Column, chars: bool) -> Column:
+    """The sequences of a side as strings: a space before each token, so that no tokens and an empty one differ."""
+    if chars:
+        return side
+    return F.transform(side, lambda s: F.array_join(F.transform(s, lambda t: F.concat(F.lit(" "), t)), ""))
+
+
+def _grams(text: str, n: int, chars: bool):
+    if chars:
+        return [text[i : i + n] for i in range(len(text) - n + 1)]
+    tokens = text.split(" ")[1:]
+    return tokens if n == 1 else zip(*(tokens[i:] for i in range(n)))
+
+
+def joint_counts(sides: list[list[str]], orders: list[int], chars: bool, best: list[bool]) -> Iterator[tuple[int, ...]]:
+    """For each order: (n, how often an n-gram is on each side, how many n-grams are that often there)."""
+    for n in orders:
+        counts = []
+        for texts, highest in zip(sides, best):
+            side = Counter()
+            for text in texts:
+                if highest:
+                    side |= Counter(_grams(text, n, chars))
+                else:
+                    side.update(_grams(text, n, chars))
+            counts.append(side)
+        every = set().union(*counts)
+        yield (n, *[0] * len(sides), 1)
+        for figures, times in Counter(zip(*(map(c.get, every, repeat(0)) for c in counts))).items():
+            yield (n, *figures, times)
+
+
+def _joint_counts(names: list[str], orders: list[int], chars: bool, best: list[bool]) -> Callable[..., Column]:
+    """``joint_counts`` over columns with the texts of each side."""
+    fields = ["n", *names, "grams"]
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField(f, T.LongType()) for f in fields])))
+    def run(*columns: pa.Array) -> pa.Array:
+        ends, rows = [0], []
+        for sides in zip(*(c.to_pylist() for c in columns)):
+            rows += joint_counts(list(sides), orders, chars, best)
+            ends.append(len(rows))
+        flat = np.array(rows, np.int64).reshape(-1, len(fields))
+        structs = pa.StructArray.from_arrays([pa.array(c) for c in flat.T], fields)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+
+    return run
 
 
 def gram_counts(
-    pairs: DataFrame, keys: list[str], sides: dict[str, Callable[[int], Column]], orders: list[int]
+    pairs: DataFrame, keys: list[str], sides: dict[str, Column], orders: list[int], chars: bool = False, best: Iterable[str] = ()
 ) -> DataFrame:
-    """How often each n-gram occurs on each side: ``keys``, n, gram and one count column per side.
+    """How often n-grams occur on each side: ``keys``, n, one count column per side, and ``grams``.
 
-    A side gives its array of n-grams for n. The pairs are shuffled once, as texts, by
-    their keys; the grams are then counted where they are. Every (keys, n) has a row
-    with a null gram, so empty texts stay.
+    ``grams`` is how many n-grams occur that often on the sides, so a pair is a few rows. A side is an array of token
+    arrays (of texts, if ``chars``); their counts add up, or the highest counts for a side in ``best``. Every
+    (keys, n) has a row of zeros, so empty texts stay. The pairs are shuffled once, as texts, by their keys. A row
+    that has its keys for itself is counted where it is; the grams of rows with equal keys are exploded and grouped.
     """
-    parts = []
+    names, highest = list(sides), [name in set(best) for name in sides]
+    at = [f"_side_{i}" for i in range(len(names))]
+    known = [F.col(c).isNotNull() & ~F.exists(c, lambda s: s.isNull()) for c in at]
+    rows = pairs.select(*keys, *[column.alias(c) for c, column in zip(at, sides.values())])
+    if 1 in orders:
+        rows = rows.where(reduce(Column.__and__, known))
+    rows = rows.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    one_row = _joint_counts(names, orders, chars, highest)
+    alone = rows.where(F.col("_rows") == 1).select(*keys, F.inline(one_row(*[_spelled(F.col(c), chars) for c in at])))
+    zeros = [F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(-1).alias("_side"), F.lit(0).alias("_place")) for n in orders]
+    parts = [F.array(*zeros)]
     for n in orders:
-        empty = F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"), F.lit(-1).alias("side"))
-        parts.append(F.array(empty))
-        parts += [_tagged(grams(n), n, i) for i, grams in enumerate(sides.values())]
-    flat = pairs.repartition(*keys).select(*keys, F.inline(F.concat(*parts)))
-    return flat.groupBy(*keys, "n", "gram").agg(
-        *[F.count_if(F.col("side") == i).alias(name) for i, name in enumerate(sides)]
-    )
+        parts += [_tagged(F.col(c), n, i, chars) for i, c in enumerate(at)]
+    found = [*keys, "n", "gram"]
+    flat = rows.where(F.col("_rows") > 1).select(*keys, F.inline(F.concat(*parts)))
+    per_place = flat.groupBy(*found, "_side", "_place").agg(F.count(F.lit(1)).alias("_c"))
+    of = lambda i: F.coalesce((F.max if highest[i] else F.sum)(F.when(F.col("_side") == i, F.col("_c"))), F.lit(0))
+    shared = per_place.groupBy(*found).agg(*[of(i).alias(name) for i, name in enumerate(names)])
+    return alone.unionByName(shared.select(*keys, F.col("n").cast("bigint").alias("n"), *names, F.lit(1).cast("bigint").alias("grams")))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -108,16 +175,15 @@ def rouge_n(
         tokens_for_rouge(F.col(ref), stemmed).alias("_ref"),
         tokens_for_rouge(F.col(pred), stemmed).alias("_pred"),
     )
-    sides = {"in_ref": lambda n: ngrams(F.col("_ref"), n), "in_pred": lambda n: ngrams(F.col("_pred"), n)}
-    counts = gram_counts(tokens, keys, sides, orders)
+    counts = gram_counts(tokens, keys, {"in_ref": F.array("_ref"), "in_pred": F.array("_pred")}, orders)
     sums = counts.groupBy(*keys, "n").agg(
-        F.sum(F.least("in_ref", "in_pred")).alias("hits"),
-        F.sum("in_ref").alias("n_ref"),
-        F.sum("in_pred").alias("n_pred"),
+        F.sum(F.least("in_ref", "in_pred") * F.col("grams")).alias("hits"),
+        F.sum(F.col("in_ref") * F.col("grams")).alias("n_ref"),
+        F.sum(F.col("in_pred") * F.col("grams")).alias("n_pred"),
     )
     p = F.col("hits") / F.greatest("n_pred", F.lit(1))
     r = F.col("hits") / F.greatest("n_ref", F.lit(1))
-    return sums.select(*keys, "n", p.alias("precision"), r.alias("recall"), _f_measure(p, r).alias("fmeasure"))
+    return sums.select(*keys, F.col("n").cast("int").alias("n"), p.alias("precision"), r.alias("recall"), _f_measure(p, r).alias("fmeasure"))
 
 
 def _codes(tokens_a: list[str], tokens_b: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -336,11 +402,7 @@ def sari(
     )
     with_m = [*keys, "_m"]
 
-    sides = {
-        "s": lambda n: ngrams(F.col("_s"), n),
-        "c": lambda n: ngrams(F.col("_c"), n),
-        "r": lambda n: F.flatten(F.transform("_refs", lambda ref: ngrams(ref, n))),
-    }
+    sides = {"s": F.array("_s"), "c": F.array("_c"), "r": F.col("_refs")}
     counts = gram_counts(tokens, with_m, sides, [1, 2, 3, 4])
     s, c, r = F.col("s") * F.col("_m"), F.col("c") * F.col("_m"), F.col("r")
     keep, keep_all = F.least(s, c), F.least(s, r)
@@ -349,12 +411,14 @@ def sari(
     drop_good = F.greatest(drop - r, F.lit(0))
     added = (F.col("c") > 0) & (F.col("s") == 0)
     wanted = (F.col("r") > 0) & (F.col("s") == 0)
+    share = lambda good, of: F.sum(F.when(of > 0, good / of * F.col("grams")))
+    number = lambda which: F.sum(F.when(which, F.col("grams")).otherwise(0))
     per_n = counts.groupBy(*with_m, "n").agg(
-        _ratio(F.sum(F.when(keep > 0, keep_good / keep)), F.count_if(keep > 0)).alias("keep_p"),
-        _ratio(F.sum(F.when(keep_all > 0, keep_good / keep_all)), F.count_if(keep_all > 0)).alias("keep_r"),
-        _ratio(F.sum(F.when(drop > 0, drop_good / drop)), F.count_if(drop > 0)).alias("del_p"),
-        _ratio(F.count_if(added & wanted).cast("double"), F.count_if(added)).alias("add_p"),
-        _ratio(F.count_if(added & wanted).cast("double"), F.count_if(wanted)).alias("add_r"),
+        _ratio(share(keep_good, keep), number(keep > 0)).alias("keep_p"),
+        _ratio(share(keep_good, keep_all), number(keep_all > 0)).alias("keep_r"),
+        _ratio(share(drop_good, drop), number(drop > 0)).alias("del_p"),
+        _ratio(number(added & wanted).cast("double"), number(added)).alias("add_p"),
+        _ratio(number(added & wanted).cast("double"), number(wanted)).alias("add_r"),
     )
     total = (
         _f_measure(F.col("keep_p"), F.col("keep_r")) + F.col("del_p") + _f_measure(F.col("add_p"), F.col("add_r"))

@@ -333,3 +333,23 @@ def test_unknown_metric_is_an_error(spark):
     with pytest.raises(Exception, match="strange"):
         G.aggregate_results(df, ["g"]).collect()
     assert G.aggregate_results(df, ["g"], {"strange": "mean"}).first()["value"] == 1.0
+
+
+def test_gram_counts_are_few_rows_a_pair(spark):
+    text = [f"w{i}" for i in range(500)]
+    pairs = spark.createDataFrame([(1, text + ["w0"], text), (2, [], [])], "id int, p array<string>, r array<string>")
+    rows = M.gram_counts(pairs, ["id"], {"p": F.array("p"), "r": F.array("r")}, [1, 2]).collect()
+    assert len(rows) < 20
+    long = {(r["id"], r["n"], r["p"], r["r"]): r["grams"] for r in rows}
+    assert (long[1, 1, 1, 1], long[1, 1, 2, 1], long[1, 2, 1, 1], long[1, 2, 1, 0]) == (499, 1, 499, 1)
+    assert {r["n"] for r in rows if r["id"] == 2} == {1, 2} and not any(r["p"] or r["r"] for r in rows if r["id"] == 2)
+
+
+def test_gram_counts_of_rows_with_equal_keys_add_up(spark):
+    rows = [(1, ["a", "b", ""], [["a"], ["a", "a"]]), (1, ["a"], [["a"], ["b"]]), (None, ["é"], [[]]), (None, ["é"], [[]]), (3, ["a"], [["a", "a"], ["a"]])]
+    pairs = spark.createDataFrame(rows, "id int, p array<string>, r array<array<string>>")
+    for best, most in (((), {1: 4, None: 0, 3: 3}), (("r",), {1: 2, None: 0, 3: 2})):
+        counts = M.gram_counts(pairs, ["id"], {"p": F.array("p"), "r": F.col("r")}, [1], best=best)
+        total = counts.groupBy("id").agg(F.sum(F.col("p") * F.col("grams")).alias("p"), F.max("r").alias("r"), F.max("p").alias("most")).collect()
+        assert {r["id"]: r["r"] for r in total} == most
+        assert {r["id"]: (r["p"], r["most"]) for r in total} == {1: (4, 2), None: (2, 2), 3: (1, 1)}
