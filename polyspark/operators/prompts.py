@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, IntegralType, StringType
 
 from polyspark.functions import expressions as X
 from polyspark.functions.hashing import hash_hex, hash_int
@@ -82,10 +85,39 @@ FILTERS = X.FILTERS | {
 }
 
 
+def _modes_of(kind: ArrayType) -> Callable[[Column], Column]:
+    """``modes`` of arrays of any length; items must be equal in Python where they are in Spark."""
+
+    @F.arrow_udf(kind)
+    def run(items: pa.Array) -> pa.Array:
+        rows = []
+        for row in items.to_pylist():
+            counts = Counter(row)
+            most = max(counts.values())
+            rows.append([item for item, n in counts.items() if n == most])
+        return pa.array(rows, items.type)
+
+    return run
+
+
 def most_frequent(df: DataFrame, keys: list[str], items: str, out: str = "modes") -> DataFrame:
-    """All most frequent elements of an array column of any length, per ``keys``."""
+    """All most frequent elements of an array column of any length, per ``keys``.
+
+    A row that has its keys for itself is counted where it is; the items of rows with equal keys, and items that are
+    neither texts nor whole numbers, are exploded and grouped.
+    """
+    kind = df.schema[items].dataType
+    rows = df.select(*keys, F.col(items).alias("_items")).where(F.size("_items") > 0)
+    if not (kind.elementType == StringType() or isinstance(kind.elementType, IntegralType)):
+        return _grouped_modes(rows, keys, out)
+    rows = rows.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    alone = rows.where(F.col("_rows") == 1).select(*keys, _modes_of(kind)(F.col("_items")).alias(out))
+    return alone.unionByName(_grouped_modes(rows.where(F.col("_rows") > 1), keys, out))
+
+
+def _grouped_modes(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
     counts = (
-        df.select(*keys, F.posexplode(items).alias("_pos", "_item"))
+        rows.select(*keys, F.posexplode("_items").alias("_pos", "_item"))
         .groupBy(*keys, "_item")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_pos"))
     )

@@ -182,3 +182,16 @@ def test_doubles_print_as_in_python(spark):
     values += [float("inf"), float("-inf"), float("nan")]
     got = spark.createDataFrame([(v,) for v in values], "v double").select(X.double_text(F.col("v")).alias("t")).collect()
     assert [r["t"] for r in got] == [str(v) for v in values]
+
+
+def test_most_frequent_shuffles_rows_and_not_items(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, ["b", "a", "b", "a", "c"]), (None, ["x", None, None]), (2, []), (3, None), (4, ["y"]), (4, ["z", "z"])]
+    df = spark.createDataFrame(rows, "id int, items array<string>")
+    modes = P.most_frequent(df, ["id"], "items")
+    assert {r["id"]: r["modes"] for r in modes.collect()} == {1: ["b", "a"], None: [None], 4: ["z"]}
+    floats = df.where("id = 1").select("id", F.expr("array(0.5d, double('nan'), double('nan'))").alias("items"))
+    assert str(P.most_frequent(floats, ["id"], "items").collect()[0]["modes"]) == "[nan]"
+    plan = modes._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "LeftSemi" in plan  # a row alone with its keys, and rows that share them
