@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from polyspark.functions.joins import skew_safe_join
 from polyspark.functions.text import words
+from polyspark.session import saved
 
 WORD_START = "▁"
 # Largest vocabulary that is sent to every task, in pieces and in bytes of pieces; beyond it, words are joined.
@@ -117,8 +118,11 @@ def _tokenize_by_join(
     bytes_used = starts.select(
         "_word", F.explode(F.split(F.regexp_replace(F.hex(F.encode(F.substring("_m", F.col("_i"), F.lit(1)), "UTF-8")), "(..)", "$1 "), " ")).alias("_b")
     ).where("_b <> ''").select("_word", F.concat(F.lit("<0x"), F.col("_b"), F.lit(">")).alias("piece"))
-    wanted = parts.unionByName(bytes_used).distinct()
-    usable = wanted.join(vocab.select("piece", "id", "score"), "piece").groupBy("_word").agg(
+    pieces = vocab.select("piece", "id", "score")
+    # at most 256 pieces are bytes; without any, no word is taken apart for them
+    as_bytes = F.broadcast(pieces.where(F.col("piece").rlike("^<0x[0-9A-F]{2}>$")))
+    known = (parts if mode == "word" else parts.distinct()).join(pieces, "piece").unionByName(bytes_used.join(as_bytes, "piece").distinct())
+    usable = known.groupBy("_word").agg(
         F.collect_list(F.struct("piece", "id", "score")).alias("_known")
     )
 
@@ -168,6 +172,7 @@ def tokenize(
     """
     if mode not in ("bpe", "word"):
         raise ValueError(f"unknown mode {mode!r}")
+    vocab = saved(vocab)  # it is read several times
     size = vocab.agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("piece")).alias("bytes"), F.max(F.length("piece")).alias("longest")
     ).first()

@@ -85,7 +85,7 @@ select (select count(*) from old)::BIGINT as old_size, (select count(*) from new
 
 
 def learnt_vocabulary(spark, sf):
-    counts = V.word_counts(table(spark, sf, "documents"))
+    counts = saved(V.word_counts(table(spark, sf, "documents")))
     return V.build_vocabulary(V.learn_bpe(counts, MERGES), V.char_inventory(counts, 1.0), spark)
 
 
@@ -97,8 +97,8 @@ def tokenize_bpe(spark, sf):
 
 def tokenizer_compare(spark, sf):
     docs = table(spark, sf, "documents")
-    english = V.word_counts(docs.where("lang = 'en'"))
-    old = V.build_vocabulary(V.learn_bpe(english, MERGES), V.char_inventory(english, 1.0), spark)
+    english = saved(V.word_counts(docs.where("lang = 'en'")))
+    old = saved(V.build_vocabulary(V.learn_bpe(english, MERGES), V.char_inventory(english, 1.0), spark))
     merged = V.extend_vocab(old, learnt_vocabulary(spark, sf))
     return V.tokenizer_compare(docs, {"old": old, "merged": merged}, ["lang"])
 
