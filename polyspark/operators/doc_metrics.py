@@ -290,15 +290,24 @@ def rouge_lsum_pair(ref: list[list[str]], pred: list[list[str]]) -> tuple[float,
 TRIPLE = T.StructType([T.StructField(f, T.DoubleType()) for f in ("precision", "recall", "fmeasure")])
 
 
-@F.pandas_udf(T.StructType([T.StructField(k, TRIPLE) for k in ("rougeL", "rougeLsum")]))
-def _rouge_lcs(ref: pd.Series, pred: pd.Series) -> pd.DataFrame:
-    rows = []
-    names = ("precision", "recall", "fmeasure")
-    for r, p in zip(ref, pred):
-        r, p = [list(s) for s in r], [list(s) for s in p]
-        whole = rouge_l_pair([t for s in r for t in s], [t for s in p for t in s])
-        rows.append((dict(zip(names, whole)), dict(zip(names, rouge_lsum_pair(r, p)))))
-    return pd.DataFrame(rows, columns=["rougeL", "rougeLsum"])
+def _rouge_lcs(stemmed: bool) -> Callable[..., Column]:
+    """Both figures of a pair; a text is its sentences as lines of tokens, which is far less to hand over than arrays."""
+
+    def tokens(text: str) -> list[list[str]]:
+        lines = [line.split() for line in text.split("\n")]
+        return [[stem(t) if len(t) > 3 else t for t in line] for line in lines] if stemmed else lines
+
+    @F.pandas_udf(T.StructType([T.StructField(k, TRIPLE) for k in ("rougeL", "rougeLsum")]))
+    def run(ref: pd.Series, pred: pd.Series) -> pd.DataFrame:
+        rows = []
+        names = ("precision", "recall", "fmeasure")
+        for r, p in zip(ref, pred):
+            r, p = tokens(r), tokens(p)
+            whole = rouge_l_pair([t for s in r for t in s], [t for s in p for t in s])
+            rows.append((dict(zip(names, whole)), dict(zip(names, rouge_lsum_pair(r, p)))))
+        return pd.DataFrame(rows, columns=["rougeL", "rougeLsum"])
+
+    return run
 
 
 def sentences(text: Column) -> Column:
@@ -312,23 +321,12 @@ def rouge_l(
     """ROUGE-L and ROUGE-Lsum per pair, as structs of precision, recall, fmeasure."""
 
     def tokenised(text: Column) -> Column:
-        return F.transform(sentences(text), rouge_tokens)
+        return F.array_join(F.transform(sentences(text), lambda s: F.array_join(rouge_tokens(s), " ")), "\n")
 
-    scored = pairs.select(
-        *keys,
-        _rouge_lcs(
-            stem_sentences(tokenised(F.col(ref))) if stemmed else tokenised(F.col(ref)),
-            stem_sentences(tokenised(F.col(pred))) if stemmed else tokenised(F.col(pred)),
-        ).alias("_both"),
-    )
+    scored = pairs.select(*keys, _rouge_lcs(stemmed)(tokenised(F.col(ref)), tokenised(F.col(pred))).alias("_both"))
     return scored.select(*keys, "_both.rougeL", "_both.rougeLsum")
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def stem_sentences(sents: pd.Series) -> pd.Series:
-    return sents.map(lambda row: [[stem(t) if len(t) > 3 else t for t in s] for s in row])
-
-
 def rouge_multi_ref(scores: DataFrame, keys: list[str], ref_idx: str = "ref_idx") -> DataFrame:
     """Averages, over each left-out reference, the score of the best other reference.
 

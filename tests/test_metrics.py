@@ -353,3 +353,12 @@ def test_gram_counts_of_rows_with_equal_keys_add_up(spark):
         total = counts.groupBy("id").agg(F.sum(F.col("p") * F.col("grams")).alias("p"), F.max("r").alias("r"), F.max("p").alias("most")).collect()
         assert {r["id"]: r["r"] for r in total} == most
         assert {r["id"]: (r["p"], r["most"]) for r in total} == {1: (4, 2), None: (2, 2), 3: (1, 1)}
+
+
+def test_subsequence_scores_hand_over_texts(spark):
+    rows = [("The cats. sat\n\n on mats", "cat sat. Mats, the cats."), ("", "..."), (". .", "a")]
+    scored = M.rouge_l(pair_df(spark, rows), ["id"])
+    got = {r["id"]: r for r in scored.collect()}
+    assert got[0]["rougeL"]["recall"] == pytest.approx(3 / 5) and got[0]["rougeLsum"]["recall"] == 1.0
+    assert got[1]["rougeLsum"]["fmeasure"] == got[2]["rougeL"]["fmeasure"] == 0.0
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
