@@ -359,6 +359,6 @@ def test_subsequence_scores_hand_over_texts(spark):
     rows = [("The cats. sat\n\n on mats", "cat sat. Mats, the cats."), ("", "..."), (". .", "a")]
     scored = M.rouge_l(pair_df(spark, rows), ["id"])
     got = {r["id"]: r for r in scored.collect()}
-    assert got[0]["rougeL"]["recall"] == pytest.approx(3 / 5) and got[0]["rougeLsum"]["recall"] == 1.0
+    assert got[0]["rougeL"]["recall"] == pytest.approx(3 / 5) and got[0]["rougeLsum"]["recall"] == pytest.approx(4 / 5)
     assert got[1]["rougeLsum"]["fmeasure"] == got[2]["rougeL"]["fmeasure"] == 0.0
     assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
