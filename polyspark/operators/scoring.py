@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from polyspark.functions.hashing import hash_hex, hash_unit
 from polyspark.functions.joins import skew_safe_join
@@ -220,25 +225,37 @@ def score_with(requests: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame])
     return requests.select("request_key", "req_type", "ctx", "cont", "args").mapInPandas(run, SCORE_SCHEMA)
 
 
+# --- n-gram model ---------------------------------------------------------------------------
+
+START = "<s>"
+#: Words in a block of documents, about. A Python group holds one block, or about as many keys.
+BLOCK_WORDS = 1 << 21
+
+ASKED_SCHEMA = "_block int, _bucket int, first array<bigint>, second array<bigint>, n array<bigint>"
+ANSWER_SCHEMA = "_block int, _bucket int, counts array<bigint>"
+
+
 def _bigrams(docs: DataFrame, keys: list[str], tokens: str) -> DataFrame:
     """Word pairs w1, w2 of each document, the first word preceded by ``<s>``."""
-    before = F.concat(F.array(F.lit("<s>")), F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))))
+    before = F.concat(F.array(F.lit(START)), F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))))
     return docs.select(*keys, F.inline(F.arrays_zip(before.alias("w1"), F.col(tokens).alias("w2"))))
 
 
 def train_ngram_lm(docs: DataFrame, by: list[str], tokens: str) -> dict[str, DataFrame]:
-    """Unigram, bigram and context counts and totals per group (language).
+    """Unigram, bigram and context counts and totals per group (language), and the words they count.
 
-    The bigram counts are the model, read by everything after, so they are written
-    once to the shared folder; the other tables are sums over them.
+    Each table counts the documents by itself when it is read: one that needs no pairs shuffles
+    none, and ``score_ngram`` counts the words it looks up in the shuffle that looks them up.
     """
-    bigrams = saved(_bigrams(docs, by, tokens).groupBy(*by, "w1", "w2").agg(F.count(F.lit(1)).alias("n_pair")))
-    unigrams = bigrams.groupBy(*by, "w2").agg(F.sum("n_pair").alias("n_word"))
+    pairs = _bigrams(docs, by, tokens)
+    n = F.count(F.lit(1))
+    unigrams = pairs.groupBy(*by, "w2").agg(n.alias("n_word"))
     return {
-        "bigrams": bigrams,
-        "contexts": bigrams.groupBy(*by, "w1").agg(F.sum("n_pair").alias("n_ctx")),
+        "bigrams": pairs.groupBy(*by, "w1", "w2").agg(n.alias("n_pair")),
+        "contexts": pairs.groupBy(*by, "w1").agg(n.alias("n_ctx")),
         "unigrams": unigrams,
-        "totals": unigrams.groupBy(*by).agg(F.sum("n_word").alias("n_all"), F.count(F.lit(1)).alias("n_vocab")),
+        "totals": unigrams.groupBy(*by).agg(F.sum("n_word").alias("n_all"), n.alias("n_vocab")),
+        "words": docs.select(*by, F.col(tokens).alias("words")),
     }
 
 
@@ -247,29 +264,167 @@ def score_ngram(
 ) -> DataFrame:
     """Log-likelihood of each document's tokens: ``by``, ``keys``, ll, n_tokens.
 
-    Tokens are counted per document first; common words are spread by document.
+    Documents are dealt over blocks of about ``BLOCK_WORDS`` words. A block asks once for each
+    distinct pair and word in it, with its own count of them, so a common one is one entry a
+    block; the answers come in the order asked and need no keys. The documents the model counts
+    ask and count at once. Words are 64-bit hashes, pairs two, which differ between groups.
     """
-    pairs = _bigrams(docs, [*by, *keys], tokens)
-    spread = [F.col(k) for k in keys]
-    if order == 1:
-        counted = pairs.groupBy(*by, *keys, "w2").agg(F.count(F.lit(1)).alias("n"))
-        joined = skew_safe_join(counted, lm["unigrams"], [*by, "w2"], "n_word", spread, "left")
-        over, under = F.col("n_word"), F.col("n_all")
-    else:
-        counted = pairs.groupBy(*by, *keys, "w1", "w2").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        joined = skew_safe_join(counted, lm["bigrams"], [*by, "w1", "w2"], "n_pair", spread, "left")
-        joined = skew_safe_join(joined, lm["contexts"], [*by, "w1"], "n_ctx", spread, "left")
-        over, under = F.col("n_pair"), F.col("n_ctx")
-    zero = F.lit(0)
-    # one more vocabulary entry stands for all unseen words
-    share = (F.coalesce(over, zero) + alpha) / (F.coalesce(under, zero) + alpha * (F.coalesce("n_vocab", zero) + 1))
+    totals = saved(lm["totals"])
+    known = lm["words"]
+    same = docs.select(*by, F.col(tokens).alias("words")).sameSemantics(known)
+    n_known = totals.agg(F.coalesce(F.sum("n_all"), F.lit(0))).first()[0]
+    n_words = n_known if same else docs.agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0))).first()[0]
+    least = docs.sparkSession.sparkContext.defaultParallelism
+    buckets = max(least, -(-max(n_known, n_words) // BLOCK_WORDS))
+
+    blocks = _blocks(docs.select(*by, *keys, tokens).join(totals, by, "left"), by, keys, tokens, n_words, ["n_all", "n_vocab"])
+    asked = blocks.groupBy("_block").applyInArrow(_asks(buckets, order, counts=same), ASKED_SCHEMA)
+    if not same:
+        counted = _blocks(known, by, [], "words", n_known, []).groupBy("_block")
+        asked = asked.unionByName(counted.applyInArrow(_asks(buckets, order, asks=False), ASKED_SCHEMA))
+    answers = asked.groupBy("_bucket").applyInArrow(_answers, ANSWER_SCHEMA)
+    schema = T.StructType([docs.schema[k] for k in [*by, *keys]]).add("ll", "double").add("n_tokens", "long")
     return (
-        joined.join(lm["totals"], by, "left")
+        blocks.groupBy("_block")
+        .cogroup(answers.groupBy("_block"))
+        .applyInArrow(_sums(buckets, order, alpha, [*by, *keys]), schema)
         .groupBy(*by, *keys)
-        .agg(F.sum(F.col("n") * F.log(share)).alias("ll"), F.sum("n").alias("n_tokens"))
+        .agg(F.sum("ll").alias("ll"), F.sum("n_tokens").alias("n_tokens"))
+    )
+
+
+def _blocks(docs: DataFrame, by: list[str], keys: list[str], tokens: str, n_words: int, more: list[str]) -> DataFrame:
+    """Documents with words, dealt over blocks; ``_words`` are hashes, null for a null word or in a null group."""
+    n = max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_words // BLOCK_WORDS))
+    in_group = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
+    # a document without words counts as one null word, as in ``_bigrams``
+    held = F.when(F.size(tokens) > 0, F.col(tokens)).otherwise(F.array(F.lit(None).cast("string")))
+    hashed = F.transform(
+        F.concat(F.array(F.lit(START)), held), lambda w: F.when(in_group & w.isNotNull(), F.xxhash64(*by, w))
     )
+    block = F.pmod(F.xxhash64(*by, *keys, tokens), F.lit(n)).cast("int")
+    return (
+        docs.where(F.col(tokens).isNotNull())
+        .select(block.alias("_block"), *by, *keys, hashed.alias("_words"), *[F.col(m).alias(f"_{m}") for m in more])
+        .repartition(n, "_block")
+    )
+
+
+class _Block:
+    """The words of a block of documents as numbers, and its distinct words and pairs."""
+
+    def __init__(self, docs: pa.Table, order: int):
+        lists = docs["_words"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy()
+        flat = lists.flatten()
+        known = flat.is_valid().to_numpy(zero_copy_only=False)
+        number = np.full(len(flat), -1)
+        self.words, number[known] = np.unique(flat.drop_null().to_numpy(), return_inverse=True)
+        ends = np.cumsum(sizes)
+        self.first, self.second = np.delete(number, ends - 1), np.delete(number, ends - sizes)
+        self.doc = np.repeat(np.arange(len(sizes)), sizes - 1)
+        # what stands below: the word before, or for single words the word itself
+        self.single = self.second if order == 1 else self.first
+        self.n_single = np.bincount(self.single[self.single >= 0], minlength=len(self.words))
+        self.paired = (self.first >= 0) & (self.second >= 0) & (order != 1)
+        codes = self.first[self.paired] * len(self.words) + self.second[self.paired]
+        codes, self.pair, self.n_pair = np.unique(codes, return_inverse=True, return_counts=True)
+        self.pairs = np.divmod(codes, max(len(self.words), 1))
+
+    def dealt(self, buckets: int):
+        """Pairs and words as (first, second, n, order by bucket, bucket); words are in buckets below 0."""
+        a, b = (self.words[p] for p in self.pairs)
+        for first, second, n in ((a, b, self.n_pair), (self.words, None, self.n_single)):
+            bucket = (first.view(np.uint64) >> np.uint64(7)) % np.uint64(buckets)
+            if second is not None:
+                # a bucket gets runs of one first word, and of no first word more than a sixteenth of its share
+                bucket += (second.view(np.uint64) >> np.uint64(7)) % np.uint64(max(16, buckets // 16))
+                bucket %= np.uint64(buckets)
+            bucket = bucket.astype(np.int32) if second is not None else -1 - bucket.astype(np.int32)
+            yield first, second, n, np.argsort(bucket, kind="stable"), bucket
+
+
+def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int64()))
+
+
+def _asks(buckets: int, order: int, counts: bool = True, asks: bool = True) -> Callable[[pa.Table], pa.Table]:
+    """A block's distinct pairs and words by bucket, with its own counts; blocks that only count are below 0."""
+
+    def run(docs: pa.Table) -> pa.Table:
+        block = docs["_block"][0].as_py()
+        parts = []
+        for first, second, n, at, bucket in _Block(docs, order).dealt(buckets):
+            names, starts = np.unique(bucket[at], return_index=True)
+            cuts = np.append(starts, len(at))
+            parts.append(
+                pa.table(
+                    {
+                        "_block": pa.array(np.full(len(names), block if asks else -1 - block), pa.int32()),
+                        "_bucket": pa.array(names, pa.int32()),
+                        "first": _lists(first[at], cuts),
+                        "second": pa.nulls(len(names), pa.list_(pa.int64())) if second is None else _lists(second[at], cuts),
+                        "n": _lists(n[at] if counts else np.zeros(len(at), np.int64), cuts),
+                    }
+                )
+            )
+        return pa.concat_tables(parts)
+
+    return run
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    return table[column].combine_chunks().flatten().to_numpy()
+
+
+def _answers(asked: pa.Table) -> pa.Table:
+    """The counts of all blocks together for what each block asks of a bucket."""
+    first, n = _flat(asked, "first"), _flat(asked, "n")
+    second = _flat(asked, "second") if asked["_bucket"][0].as_py() >= 0 else np.zeros_like(first)
+    at = np.lexsort((second, first))
+    a, b = first[at], second[at]
+    starts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    counts = np.empty_like(n)
+    counts[at] = np.repeat(np.add.reduceat(n[at], starts), np.diff(np.append(starts, len(at))))
+    sizes = asked["first"].combine_chunks().value_lengths().to_numpy()
+    out = asked.select(["_block", "_bucket"]).append_column("counts", _lists(counts, np.append(0, np.cumsum(sizes))))
+    return out.filter(pc.greater_equal(out["_block"], 0))
+
+
+def _sums(buckets: int, order: int, alpha: float, keys: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The log-likelihood of each document of a block, from the answers to the block."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        block = _Block(docs, order)
+        answers = answers.sort_by("_bucket")
+        counts = []
+        for above, (*_, at, _) in zip((True, False), block.dealt(buckets)):
+            of = answers.filter(pc.equal(pc.greater_equal(answers["_bucket"], 0), above))
+            counts.append(np.empty(len(at), np.int64))
+            counts[-1][at] = _flat(of, "counts")
+        pairs, singles = counts
+        single = np.zeros(len(block.doc))
+        single[block.single >= 0] = singles[block.single[block.single >= 0]]
+        n_all, n_vocab = (docs[f"_{c}"].combine_chunks().fill_null(0).to_numpy()[block.doc] for c in ("n_all", "n_vocab"))
+        if order == 1:
+            over, under = single, n_all
+        else:
+            over, under = np.zeros(len(block.doc)), single
+            over[block.paired] = pairs[block.pair]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            # one more vocabulary entry stands for all unseen words
+            share = (over + alpha) / (under + alpha * (n_vocab + 1))
+        some = share > 0
+        logs = np.bincount(block.doc[some], np.log(share[some]), docs.num_rows)
+        none = np.bincount(block.doc[some], minlength=docs.num_rows) == 0
+        n_tokens = np.bincount(block.doc, minlength=docs.num_rows)
+        return (
+            docs.select(keys)
+            .append_column("ll", pa.array(logs, pa.float64(), mask=none))
+            .append_column("n_tokens", pa.array(n_tokens, pa.int64()))
+        )
+
+    return run
 
 
 # --- responses ------------------------------------------------------------------------------

@@ -153,3 +153,64 @@ def test_ngram_model_sums_to_one(spark):
     for order in (1, 2):
         lls = {r["id"]: r["ll"] for r in S.score_ngram(lm, test, ["lang"], ["id"], "w", order=order).collect()}
         assert sum(math.exp(v) for v in lls.values()) == pytest.approx(1.0)
+
+
+def _ngram_by_hand(known, docs, order, alpha=0.5):
+    """{(lang, id): (ll, tokens)} of rows (lang, id, words); a null word or language is never found, no words are one null."""
+    import math
+    from collections import Counter, defaultdict
+
+    pairs = lambda w: [] if w is None else list(zip(["<s>", *w[:-1]], w or [None]))
+    bigrams, contexts, words, out = Counter(), Counter(), defaultdict(Counter), defaultdict(lambda: [0.0, 0])
+    for lang, _, w in known:
+        for a, b in pairs(w):
+            bigrams[lang, a, b] += 1
+            contexts[lang, a] += 1
+            words[lang][b] += 1
+    for lang, i, w in docs:
+        for a, b in pairs(w):
+            total = words[lang].total() if lang else 0
+            vocab = len(words[lang]) if lang else 0
+            if order == 1:
+                over, under = words[lang][b], total
+            else:
+                over, under = bigrams[lang, a, b] if a else 0, contexts[lang, a] if a else 0
+            over, under = over if b and lang else 0, under if lang else 0
+            row = out[lang, i]
+            row[0] += math.log((over + alpha) / (under + alpha * (vocab + 1)))
+            row[1] += 1
+    return {k: (pytest.approx(v[0]), v[1]) for k, v in out.items()}
+
+
+NGRAM_KNOWN = [
+    ("en", 1, ["a", "b", "a", "b", None, "a"]), ("en", 1, ["b"]), ("en", None, ["a", "<s>", "a"]), ("en", 2, []), ("en", 3, None),
+    ("de", 1, ["a", "b", "c", "a"]), ("de", 2, [None]), (None, 1, ["a", "b"]), ("en", 4, ["a", "b", "a", "b", None, "a"]),
+]
+NGRAM_NEW = [("en", 7, ["a", "b", "new", None]), ("fr", 7, ["a", "b"]), ("de", 8, ["c", "a", "b"]), (None, 8, ["a"]), ("de", 9, ["x"] * 5)]
+
+
+@pytest.mark.parametrize("words_a_block", [1, 1 << 21])
+def test_ngram_scores_of_known_and_new_documents(spark, monkeypatch, words_a_block):
+    monkeypatch.setattr(S, "BLOCK_WORDS", words_a_block)
+    frame = lambda rows: spark.createDataFrame(rows, "lang string, id int, w array<string>")
+    known, new = frame(NGRAM_KNOWN), frame(NGRAM_NEW)
+    lm = S.train_ngram_lm(known, ["lang"], "w")
+    for order in (1, 2):
+        for docs, rows in ((known, NGRAM_KNOWN), (new, NGRAM_NEW)):
+            got = S.score_ngram(lm, docs, ["lang"], ["id"], "w", order=order).collect()
+            assert {(r["lang"], r["id"]): (r["ll"], r["n_tokens"]) for r in got} == _ngram_by_hand(NGRAM_KNOWN, rows, order)
+
+
+def test_ngram_scoring_shuffles_no_row_a_pair(spark):
+    docs = spark.createDataFrame([("en", i, ["a", "b", "c", "a"]) for i in range(50)], "lang string, id int, w array<string>")
+    for order in (1, 2):
+        lm = S.train_ngram_lm(docs, ["lang"], "w")
+        scored = S.score_ngram(lm, docs, ["lang"], ["id"], "w", order=order)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_b" in plan and "hashpartitioning(lang" in plan
+        dealt = [line for line in plan.splitlines() if "hashpartitioning(" in line]
+        assert not [line for line in dealt if "w1#" in line or "w2#" in line]
+    # a pair and a word are asked for once a block, though 50 documents hold them
+    block = S._blocks(docs, ["lang"], [], "w", 0, []).withColumn("_block", F.lit(0))
+    asked = block.groupBy("_block").applyInArrow(S._asks(1, 2), S.ASKED_SCHEMA).collect()
+    assert {r["_bucket"]: sorted(r["n"]) for r in asked} == {0: [50, 50, 50, 50], -1: [50, 50, 50, 50]}
