@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -259,6 +259,96 @@ def train_ngram_lm(docs: DataFrame, by: list[str], tokens: str) -> dict[str, Dat
     }
 
 
+def ngram_table(lm: dict[str, DataFrame], by: list[str]) -> DataFrame:
+    """Bigram counts with the count of their first word: ``by``, w1, w2, n_pair, n_ctx; no null groups or first words.
+
+    The words are counted where they lie, a block at a time: a row is a first word with all
+    that follows it in the block. These rows meet by first word, in one shuffle that serves both
+    counts. What follows a first word of more than a partition's share is spread over partitions.
+    """
+    words = lm["words"]
+    held = F.when(F.size("words") > 0, F.col("words")).otherwise(F.array(F.lit(None).cast("string")))
+    fields = [words.schema[k] for k in by]
+    schema = T.StructType(fields).add("w1", "string").add("n", "long")
+    schema = schema.add("w2", T.ArrayType(T.StringType())).add("n2", T.ArrayType(T.LongType()))
+    counted = saved(
+        words.where(F.col("words").isNotNull())
+        .select(*by, F.concat(F.array(F.lit(START)), held).alias("_words"))
+        .mapInArrow(_followers(by), schema)
+        .dropna(subset=[*by, "w1"])
+    )
+    shares = 2 * int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")) / F.lit(
+        counted.agg(F.coalesce(F.sum("n"), F.lit(0)) + 1).first()[0]
+    )
+    hot = (
+        counted.groupBy(*by, "w1").agg(F.sum("n").alias("_n")).withColumn("_parts", F.ceil(F.col("_n") * shares).cast("int"))
+    )
+    hot = F.broadcast(saved(hot.where("_parts > 2")))
+    pairs = F.arrays_zip("w2", F.col("n2").alias("n_pair"))
+    split = F.transform(
+        F.sequence(F.lit(0), F.col("_parts") - 1),
+        lambda p: F.struct(
+            p.alias("_part"),
+            F.filter("_pairs", lambda f: F.pmod(F.xxhash64(f["w2"]), F.col("_parts")) == p).alias("_pairs"),
+        ),
+    )
+    whole = F.array(F.struct(F.lit(0).alias("_part"), F.col("_pairs")))
+    parts = (
+        counted.withColumn("_pairs", pairs)
+        .join(hot, [*by, "w1"], "left")
+        .select(*by, "w1", "n", "_n", F.inline(F.when(F.col("_parts").isNull(), whole).otherwise(split)))
+    )
+    met = Window.partitionBy(*by, "w1", "_part")
+    return (
+        parts.withColumn("n_ctx", F.coalesce("_n", F.sum("n").over(met)))
+        .select(*by, "w1", "_part", "n_ctx", F.inline("_pairs"))
+        .groupBy(*by, "w1", "_part", "n_ctx", "w2")
+        .agg(F.sum("n_pair").alias("n_pair"))
+        .select(*by, "w1", "w2", "n_pair", "n_ctx")
+    )
+
+
+def _followers(by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """First words of about ``BLOCK_WORDS`` words at a time, with what follows each and how often."""
+
+    def count(docs: pa.Table) -> Iterator[pa.RecordBatch]:
+        group = np.zeros(docs.num_rows, np.int64)
+        for k in by:
+            codes = docs[k].combine_chunks().dictionary_encode(null_encoding="encode")
+            group = np.unique(group * (len(codes.dictionary) + 1) + codes.indices.to_numpy(), return_inverse=True)[1]
+        _, example = np.unique(group, return_index=True)
+        lists = docs["_words"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy()
+        codes = lists.flatten().dictionary_encode(null_encoding="encode")
+        number, names = codes.indices.to_numpy().astype(np.int64), codes.dictionary
+        ends = np.cumsum(sizes)
+        first, second = np.delete(number, ends - 1), np.delete(number, ends - sizes)
+        above, at, n = np.unique(
+            np.repeat(group, sizes - 1) * len(names) + first, return_inverse=True, return_counts=True
+        )
+        pairs, n2 = np.unique(at * len(names) + second, return_counts=True)
+        owner, second = np.divmod(pairs, len(names))
+        cuts = pa.array(np.searchsorted(owner, np.arange(len(above) + 1)), pa.int32())
+        group, first = np.divmod(above, len(names))
+        out = docs.select(by).take(example[group])
+        out = out.append_column("w1", names.take(pa.array(first))).append_column("n", pa.array(n, pa.int64()))
+        out = out.append_column("w2", pa.ListArray.from_arrays(cuts, names.take(pa.array(second))))
+        yield from out.append_column("n2", _lists(n2, cuts)).to_batches(max_chunksize=10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size = [], 0
+        for batch in batches:
+            kept.append(batch)
+            size += len(batch["_words"].flatten())
+            if size >= BLOCK_WORDS:
+                yield from count(pa.Table.from_batches(kept))
+                kept, size = [], 0
+        if size:
+            yield from count(pa.Table.from_batches(kept))
+
+    return run
+
+
 def score_ngram(
     lm: dict[str, DataFrame], docs: DataFrame, by: list[str], keys: list[str], tokens: str, alpha: float = 0.5, order: int = 2
 ) -> DataFrame:
@@ -344,7 +434,7 @@ class _Block:
             yield first, second, n, np.argsort(bucket, kind="stable"), bucket
 
 
-def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+def _lists(values: np.ndarray, cuts: np.ndarray | pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int64()))
 
 

@@ -234,7 +234,7 @@ def lm_docs(spark, sf):
 
 def train_ngram_lm(spark, sf):
     lm = S.train_ngram_lm(lm_docs(spark, sf), ["lang"], "tokens")
-    return lm["bigrams"].join(lm["contexts"], ["lang", "w1"])
+    return S.ngram_table(lm, ["lang"])
 
 
 NGRAM_SQL = f"""

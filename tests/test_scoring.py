@@ -214,3 +214,30 @@ def test_ngram_scoring_shuffles_no_row_a_pair(spark):
     block = S._blocks(docs, ["lang"], [], "w", 0, []).withColumn("_block", F.lit(0))
     asked = block.groupBy("_block").applyInArrow(S._asks(1, 2), S.ASKED_SCHEMA).collect()
     assert {r["_bucket"]: sorted(r["n"]) for r in asked} == {0: [50, 50, 50, 50], -1: [50, 50, 50, 50]}
+
+
+@pytest.mark.parametrize("words_a_block", [1, 1 << 21])
+def test_ngram_table_is_bigrams_with_their_contexts(spark, monkeypatch, words_a_block):
+    monkeypatch.setattr(S, "BLOCK_WORDS", words_a_block)
+    many = [("en", 10 + i, ["a", f"x{i % 7}", "a", f"y{i}", "a", "b"]) for i in range(60)]  # "a" is spread over partitions
+    docs = spark.createDataFrame(NGRAM_KNOWN + many, "lang string, id int, w array<string>").repartition(3)
+    lm = S.train_ngram_lm(docs, ["lang"], "w")
+    table = S.ngram_table(lm, ["lang"])
+    plain = lm["bigrams"].join(lm["contexts"], ["lang", "w1"])
+    assert table.columns == plain.columns
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    assert sorted(map(key, table.collect())) == sorted(map(key, plain.collect()))
+    # one shuffle serves both counts: none deals rows out by the second word
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert dealt and not [line for line in dealt if "w2#" in line.split("hashpartitioning(")[1]]
+
+
+def test_ngram_table_of_two_groupings(spark):
+    rows = [("en", 1, ["a", "b"]), ("en", 2, ["a", "b", "a"]), ("de", 1, ["a"]), ("de", None, ["a"]), (None, 2, ["a"])]
+    docs = spark.createDataFrame(rows, "lang string, part bigint, w array<string>")
+    got = S.ngram_table(S.train_ngram_lm(docs, ["lang", "part"], "w"), ["lang", "part"]).collect()
+    assert sorted(tuple(r) for r in got) == [
+        ("de", 1, "<s>", "a", 1, 1), ("en", 1, "<s>", "a", 1, 1), ("en", 1, "a", "b", 1, 1),
+        ("en", 2, "<s>", "a", 1, 1), ("en", 2, "a", "b", 1, 1), ("en", 2, "b", "a", 1, 1),
+    ]
