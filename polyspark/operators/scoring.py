@@ -308,6 +308,15 @@ def ngram_table(lm: dict[str, DataFrame], by: list[str]) -> DataFrame:
     )
 
 
+def _numbered(codes: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes (all below ``top``), for each code the number of its own, and how often each is there."""
+    if top > 8 * len(codes):
+        return np.unique(codes, return_inverse=True, return_counts=True)
+    n = np.bincount(codes, minlength=top)
+    there = np.flatnonzero(n)
+    return there, (np.cumsum(n > 0) - 1)[codes], n[there]
+
+
 def _followers(by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """First words of about ``BLOCK_WORDS`` words at a time, with what follows each and how often."""
 
@@ -323,9 +332,7 @@ def _followers(by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
         number, names = codes.indices.to_numpy().astype(np.int64), codes.dictionary
         ends = np.cumsum(sizes)
         first, second = np.delete(number, ends - 1), np.delete(number, ends - sizes)
-        above, at, n = np.unique(
-            np.repeat(group, sizes - 1) * len(names) + first, return_inverse=True, return_counts=True
-        )
+        above, at, n = _numbered(np.repeat(group, sizes - 1) * len(names) + first, len(example) * len(names))
         pairs, n2 = np.unique(at * len(names) + second, return_counts=True)
         owner, second = np.divmod(pairs, len(names))
         cuts = pa.array(np.searchsorted(owner, np.arange(len(above) + 1)), pa.int32())
