@@ -40,6 +40,11 @@ def words(text: Column) -> Column:
     return F.filter(space_split(text), lambda w: w != "")
 
 
+def has_words(text: Column) -> Column:
+    """Whether any character is not white space; looks no further than the first."""
+    return text.rlike("(?U)[^\\s\\x1c-\\x1f]")
+
+
 def count_words(text: Column) -> Column:
     return F.size(space_split(text)).cast("bigint")
 

@@ -427,14 +427,24 @@ def sari(
 # --- perplexity -----------------------------------------------------------------------------
 
 
-def perplexity_parts(df: DataFrame, text: str = "text", ll: str = "ll") -> DataFrame:
-    """Adds words, bytes and the three figures of a single document."""
-    words, size = count_words(F.col(text)), count_bytes(F.col(text))
-    return df.withColumns({"words": words, "bytes": size}).withColumns(
+def text_sizes(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds words and bytes of the text: all that perplexity needs of it."""
+    return df.withColumns({"words": count_words(F.col(text)), "bytes": count_bytes(F.col(text))})
+
+
+def perplexity_parts(df: DataFrame, text: str | None = "text", ll: str = "ll") -> DataFrame:
+    """Adds words, bytes and the three figures of a single document.
+
+    A figure per byte of an empty text is null. With ``text`` None the rows have words and bytes
+    already (``text_sizes``), so that a score need not be joined to a text.
+    """
+    df = df if text is None else text_sizes(df, text)
+    per_word, per_byte = (F.try_divide(F.col(ll), F.col(size)) for size in ("words", "bytes"))
+    return df.withColumns(
         {
-            "word_perplexity_instance": F.exp(-F.col(ll) / F.col("words")),
-            "byte_perplexity_instance": F.exp(-F.col(ll) / F.col("bytes")),
-            "bits_per_byte_instance": -(F.col(ll) / F.col("bytes")) / F.log(F.lit(2.0)),
+            "word_perplexity_instance": F.exp(-per_word),
+            "byte_perplexity_instance": F.exp(-per_byte),
+            "bits_per_byte_instance": -per_byte / F.log(F.lit(2.0)),
         }
     )
 

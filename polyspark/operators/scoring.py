@@ -231,7 +231,7 @@ START = "<s>"
 #: Words in a block of documents, about. A Python group holds one block, or about as many keys.
 BLOCK_WORDS = 1 << 21
 
-ASKED_SCHEMA = "_block int, _bucket int, first array<bigint>, second array<bigint>, n array<bigint>"
+ASKED_SCHEMA = "_block int, _bucket int, key array<bigint>, n array<bigint>"
 ANSWER_SCHEMA = "_block int, _bucket int, counts array<bigint>"
 
 
@@ -364,7 +364,8 @@ def score_ngram(
     Documents are dealt over blocks of about ``BLOCK_WORDS`` words. A block asks once for each
     distinct pair and word in it, with its own count of them, so a common one is one entry a
     block; the answers come in the order asked and need no keys. The documents the model counts
-    ask and count at once. Words are 64-bit hashes, pairs two, which differ between groups.
+    ask and count at once. Words are 64-bit hashes, which differ between groups; so are pairs,
+    within a bucket.
     """
     totals = saved(lm["totals"])
     known = lm["words"]
@@ -429,16 +430,16 @@ class _Block:
         self.pairs = np.divmod(codes, max(len(self.words), 1))
 
     def dealt(self, buckets: int):
-        """Pairs and words as (first, second, n, order by bucket, bucket); words are in buckets below 0."""
-        a, b = (self.words[p] for p in self.pairs)
-        for first, second, n in ((a, b, self.n_pair), (self.words, None, self.n_single)):
-            bucket = (first.view(np.uint64) >> np.uint64(7)) % np.uint64(buckets)
-            if second is not None:
-                # a bucket gets runs of one first word, and of no first word more than a sixteenth of its share
-                bucket += (second.view(np.uint64) >> np.uint64(7)) % np.uint64(max(16, buckets // 16))
-                bucket %= np.uint64(buckets)
-            bucket = bucket.astype(np.int32) if second is not None else -1 - bucket.astype(np.int32)
-            yield first, second, n, np.argsort(bucket, kind="stable"), bucket
+        """Pairs and words as (key, n, order by bucket, bucket); words are in buckets below 0."""
+        a, b = (self.words[p].view(np.uint64) for p in self.pairs)
+        # the words of a pair are spread over all of 64 bits, so a sum of odd multiples of them is too
+        keys = a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)
+        # a bucket gets no first word's pairs beyond a sixteenth of its share
+        bucket = (a >> np.uint64(7)) % np.uint64(buckets) + (b >> np.uint64(7)) % np.uint64(max(16, buckets // 16))
+        bucket = (bucket % np.uint64(buckets)).astype(np.int32)
+        yield keys.view(np.int64), self.n_pair, np.argsort(bucket, kind="stable"), bucket
+        bucket = -1 - ((self.words.view(np.uint64) >> np.uint64(7)) % np.uint64(buckets)).astype(np.int32)
+        yield self.words, self.n_single, np.argsort(bucket, kind="stable"), bucket
 
 
 def _lists(values: np.ndarray, cuts: np.ndarray | pa.Array) -> pa.Array:
@@ -451,7 +452,7 @@ def _asks(buckets: int, order: int, counts: bool = True, asks: bool = True) -> C
     def run(docs: pa.Table) -> pa.Table:
         block = docs["_block"][0].as_py()
         parts = []
-        for first, second, n, at, bucket in _Block(docs, order).dealt(buckets):
+        for key, n, at, bucket in _Block(docs, order).dealt(buckets):
             names, starts = np.unique(bucket[at], return_index=True)
             cuts = np.append(starts, len(at))
             parts.append(
@@ -459,8 +460,7 @@ def _asks(buckets: int, order: int, counts: bool = True, asks: bool = True) -> C
                     {
                         "_block": pa.array(np.full(len(names), block if asks else -1 - block), pa.int32()),
                         "_bucket": pa.array(names, pa.int32()),
-                        "first": _lists(first[at], cuts),
-                        "second": pa.nulls(len(names), pa.list_(pa.int64())) if second is None else _lists(second[at], cuts),
+                        "key": _lists(key[at], cuts),
                         "n": _lists(n[at] if counts else np.zeros(len(at), np.int64), cuts),
                     }
                 )
@@ -476,14 +476,13 @@ def _flat(table: pa.Table, column: str) -> np.ndarray:
 
 def _answers(asked: pa.Table) -> pa.Table:
     """The counts of all blocks together for what each block asks of a bucket."""
-    first, n = _flat(asked, "first"), _flat(asked, "n")
-    second = _flat(asked, "second") if asked["_bucket"][0].as_py() >= 0 else np.zeros_like(first)
-    at = np.lexsort((second, first))
-    a, b = first[at], second[at]
-    starts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    key, n = _flat(asked, "key"), _flat(asked, "n")
+    at = np.argsort(key)
+    key = key[at]
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     counts = np.empty_like(n)
     counts[at] = np.repeat(np.add.reduceat(n[at], starts), np.diff(np.append(starts, len(at))))
-    sizes = asked["first"].combine_chunks().value_lengths().to_numpy()
+    sizes = asked["key"].combine_chunks().value_lengths().to_numpy()
     out = asked.select(["_block", "_bucket"]).append_column("counts", _lists(counts, np.append(0, np.cumsum(sizes))))
     return out.filter(pc.greater_equal(out["_block"], 0))
 

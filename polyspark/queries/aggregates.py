@@ -174,7 +174,7 @@ from (select lang, n_chars, -4 * {Q.hash_unit_sql("3", "doc_id")} as ll from doc
 
 def weighted_perplexity(spark, sf):
     """Word perplexity, byte perplexity and bits per byte of the bigram model per language."""
-    pairs = M.perplexity_pairs(M.perplexity_parts(_rolling(spark, sf)), ["task", "lang"])
+    pairs = M.perplexity_pairs(M.perplexity_parts(_rolling(spark, sf), text=None), ["task", "lang"])
     results = G.aggregate_results(pairs, ["task", "lang"])
     return results.select("task", "lang", "metric", F.round("value", 4).alias("value"), "n", "higher_is_better")
 

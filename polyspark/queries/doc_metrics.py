@@ -174,11 +174,11 @@ from fig group by all"""
 
 
 def _rolling(spark, sf):
-    """Documents with the summed bigram score of their words."""
-    docs = lm_docs(spark, sf)
+    """Documents that have words with their sizes and the summed bigram score of their words."""
+    docs = lm_docs(spark, sf, with_words=True)
     lm = S.train_ngram_lm(docs, ["lang"], "tokens")
     scores = S.score_ngram(lm, docs, ["lang"], ["doc_id"], "tokens").select("doc_id", "ll")
-    return Q.langid_docs(spark, sf).join(scores, "doc_id")
+    return M.text_sizes(Q.langid_docs(spark, sf)).drop("text").join(scores, "doc_id")
 
 
 def count_words_bytes(spark, sf):
@@ -190,7 +190,7 @@ COUNT_SQL = f"select doc_id, len({Q.space_split_sql('text')})::BIGINT as words,
 
 
 def perplexity_parts(spark, sf):
-    parts = M.perplexity_parts(_rolling(spark, sf))
+    parts = M.perplexity_parts(_rolling(spark, sf), text=None)
     names = ["byte_perplexity_instance", "bits_per_byte_instance"]
     return parts.select(
         "doc_id", "words", "bytes", F.round(F.log("word_perplexity_instance"), 4).alias("log_word_perplexity"),

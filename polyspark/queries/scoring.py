@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from polyspark.functions.hashing import hash_hex, hash_unit
-from polyspark.functions.text import words
+from polyspark.functions.text import has_words, words
 from polyspark.operators import prompts as P
 from polyspark.operators import scoring as S
 from polyspark.queries import common as Q
@@ -228,8 +228,11 @@ select distinct {KEY_SQL} as request_key, round((-length(cont))::DOUBLE - (lengt
        length(cont) < 4 as is_greedy from requests"""
 
 
-def lm_docs(spark, sf):
-    return Q.table(spark, sf, "documents").select("lang", "doc_id", words(F.lower("text")).alias("tokens"))
+def lm_docs(spark, sf, with_words=False):
+    """Documents as lists of words; ``with_words``: only those that have any."""
+    docs = Q.table(spark, sf, "documents")
+    docs = docs.where(has_words(F.col("text"))) if with_words else docs
+    return docs.select("lang", "doc_id", words(F.lower("text")).alias("tokens"))
 
 
 def train_ngram_lm(spark, sf):

@@ -362,3 +362,32 @@ def test_subsequence_scores_hand_over_texts(spark):
     assert got[0]["rougeL"]["recall"] == pytest.approx(3 / 5) and got[0]["rougeLsum"]["recall"] == pytest.approx(4 / 5)
     assert got[1]["rougeLsum"]["fmeasure"] == got[2]["rougeL"]["fmeasure"] == 0.0
     assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+
+
+def test_perplexity_of_an_empty_text(spark):
+    df = spark.createDataFrame([(1, "a b", -2.0), (2, "", -1.0)], "id int, text string, ll double")
+    for parts in (M.perplexity_parts(df), M.perplexity_parts(M.text_sizes(df).drop("text"), text=None)):
+        got = {r["id"]: r for r in parts.collect()}
+        assert got[1]["byte_perplexity_instance"] == pytest.approx(math.exp(2 / 3))
+        assert (got[2]["words"], got[2]["bytes"], got[2]["word_perplexity_instance"]) == (1, 0, pytest.approx(math.e))
+        assert got[2]["byte_perplexity_instance"] is None and got[2]["bits_per_byte_instance"] is None
+
+
+def test_perplexity_queries_over_texts_without_words(spark, tmp_path):
+    import duckdb
+
+    from compare import rows_of
+    from polyspark.queries import QUERIES
+    from polyspark.queries.doc_metrics import _rolling
+
+    texts = ["a b a", "", " \t\n", "b a c", None, "a", "", "c c\x1fa"]
+    rows = [(i, t, "en" if i < 5 else "de") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("perplexity_parts", "weighted_perplexity"):
+        fn, sql = QUERIES[name]
+        got, cursor = fn(spark, str(tmp_path)), con.execute(sql)
+        assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of([d[0] for d in cursor.description], cursor.fetchall())
+    # a score meets the sizes of a text, not the text
+    assert sorted(_rolling(spark, str(tmp_path)).columns) == ["bytes", "doc_id", "lang", "ll", "task", "words"]
