@@ -105,6 +105,38 @@ def test_both_ways_to_tokenize_agree(spark, words):
     assert sent[0][-4:-1] == [0, 100, 101]
 
 
+@pytest.mark.parametrize("block_bytes", [1, 16 << 20])
+def test_whole_words_are_looked_up_a_block_at_a_time(spark, monkeypatch, block_bytes):
+    from polyspark.operators import tokens as T
+
+    texts = ["b a new a", "", None, "é a", " \t", "a\x1fb\u2003c", "b a new a"]
+    rows = [(k, t) for k in (1, 1, None, 2) for t in texts]  # copies of a key and a text stay as many
+    docs = spark.createDataFrame(rows, "id int, text string")
+    pieces = [(1, "▁a"), (2, "▁b"), (3, "▁c"), (4, "a"), (5, "▁é"), (6, "▁unused")]
+    vocab = spark.createDataFrame([(i, p, -float(i), 1) for i, p in pieces], "id bigint, piece string, score double, type int")
+    as_bytes = [(10 + b, f"<0x{b:02X}>", 0.0, 6) for b in range(256)]
+    key = lambda r: (str(r["id"]), str(r["input_ids"]))
+    for v in (vocab, vocab.unionByName(spark.createDataFrame(as_bytes, vocab.schema))):
+        sent = sorted(map(key, tokenize(docs, v, ["id"], mode="word", special=(9, None)).collect()))
+        monkeypatch.setattr(T, "BLOCK_BYTES", block_bytes)
+        monkeypatch.setattr(T, "BUCKET_PIECES", 2)
+        joined = tokenize(docs, v, ["id"], mode="word", special=(9, None), broadcast_pieces=0)
+        assert sorted(map(key, joined.collect())) == sent and len(sent) == 28
+    assert ("2", "None") in sent and ("2", "[9]") in sent and ("2", "[9, 5, 1]") in sent
+    # texts are dealt out once, by block; no shuffle has a row for each word of a text
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert dealt and all(d.startswith(("_block#", "_bucket#")) for d in dealt)
+
+
+def test_words_of_the_join_way_are_those_of_the_other(spark):
+    from polyspark.functions.text import words as words_of
+    from pyspark.sql import functions as F
+
+    text = "".join(f"a{chr(c)}b" for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000)
+    assert spark.createDataFrame([(text,)], "t string").select(words_of(F.col("t"))).first()[0] == text.split()
+
+
 def test_vocabulary_layout(spark):
     docs = spark.createDataFrame([("ab ab ac",)], "text string")
     vocab = V.learn_vocabulary(docs, 9).orderBy("id").collect()
